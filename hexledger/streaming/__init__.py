@@ -1,0 +1 @@
+"""No streaming operators: every table this library works on is a batch table."""
