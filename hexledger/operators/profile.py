@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from itertools import combinations_with_replacement
+from itertools import combinations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -179,23 +179,20 @@ def boxplot_stats(df: DataFrame, columns: list[str], by: list[str] | None = None
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Pearson correlation of every pair of numeric columns over rows where both are present.
 
-    Each unordered pair is computed once, all pairs in one pass, and emitted in both directions.
+    Each unordered pair is computed once, all pairs in one pass, and emitted in both directions; a
+    column with itself is 1 unless it is constant.
     """
     columns = columns or numeric_columns(df)
-    pairs = list(combinations_with_replacement(columns, 2))
-    both = {
-        (a, b): F.corr(
-            F.when(F.col(f"`{b}`").isNotNull(), F.col(f"`{a}`").cast("double")),
-            F.when(F.col(f"`{a}`").isNotNull(), F.col(f"`{b}`").cast("double")),
-        )
-        for a, b in pairs
-    }
-    cells = [
-        F.struct(F.lit(x).alias("col_a"), F.lit(y).alias("col_b"), both[(a, b)].alias("corr"))
-        for a, b in pairs
-        for x, y in ([(a, b)] if a == b else [(a, b), (b, a)])
-    ]
-    return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+    pairs = {pair: f"c{i}" for i, pair in enumerate(combinations(columns, 2))}
+    own = {a: f"d{i}" for i, a in enumerate(columns)}
+    wide = df.agg(
+        *[F.expr(f"corr(CAST(`{a}` AS double), CAST(`{b}` AS double)) AS {name}") for (a, b), name in pairs.items()],
+        *[F.expr(f"CASE WHEN min(`{a}`) < max(`{a}`) THEN 1D END AS {name}") for a, name in own.items()],
+    )
+    cells = [(a, b, name) for (a, b), name in pairs.items()]
+    cells += [(b, a, name) for a, b, name in cells] + [(a, a, name) for a, name in own.items()]
+    listed = ", ".join(f"named_struct('col_a', '{a}', 'col_b', '{b}', 'corr', {name})" for a, b, name in cells)
+    return wide.select(F.expr(f"inline(array({listed}))"))
 
 
 def bounding_box(df: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFrame:

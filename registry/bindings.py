@@ -7,6 +7,7 @@ whole units, so that sums are exact in any order.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from hexledger.functions import cells
 from hexledger.plans.reports import named_places
+from hexledger.session import materialize
 
 # A resolution-9 id with base cell 8: nine base-7 digits of the key, unused digits 7.
 _ID_LEVELS = 9
@@ -25,19 +27,22 @@ POI_LAT = "55.7e0 + (({k} * 15485863) % 1000003) / 10000030.0e0"
 POI_LON = "37.5e0 + (({k} * 32452843) % 1000033) / 10000330.0e0"
 
 
-def cell_id(key: Column) -> Column:
-    n = F.lit(_ID_BASE).cast("long")
-    for level in range(1, _ID_LEVELS + 1):
-        digit = F.floor(key / (7 ** (_ID_LEVELS - level))).cast("long") % 7
-        n = n + F.shiftleft(digit, 3 * (cells.MAX_RESOLUTION - level))
-    return cells.long_to_cell(n)
+def _digits(key: str, divide: str, shift: str) -> str:
+    return " + ".join(
+        shift.format(
+            digit=divide.format(key=key, by=7 ** (_ID_LEVELS - level)), by=3 * (cells.MAX_RESOLUTION - level)
+        )
+        for level in range(1, _ID_LEVELS + 1)
+    )
+
+
+def cell_id(key: str) -> Column:
+    digits = _digits(key, "(({key} div {by}) % 7)", "shiftleft({digit}, {by})")
+    return F.expr(f"lower(hex({_ID_BASE}L + {digits}))")
 
 
 def cell_id_sql(key: str) -> str:
-    digits = " + ".join(
-        f"((({key} // {7 ** (_ID_LEVELS - level)}) % 7) << {3 * (cells.MAX_RESOLUTION - level)})"
-        for level in range(1, _ID_LEVELS + 1)
-    )
+    digits = _digits(key, "(({key} // {by}) % 7)", "({digit} << {by})")
     return f"format('{{:x}}', {_ID_BASE}::bigint + {digits})"
 
 
@@ -86,6 +91,11 @@ SQL_VIEWS = {
 }
 
 
+# Stored base tables by (application, directory, table): transactions and withdrawals are derived from
+# the line items once per application, as an ingest job would, and every query reads the stored rows.
+_STORED: dict[tuple[str, str, str], DataFrame] = {}
+
+
 class Tables:
     """The bound tables of one scale directory."""
 
@@ -96,13 +106,22 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def _stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _STORED:
+            _STORED[key] = materialize(build(), name)
+        return _STORED[key]
+
     @cached_property
     def _lines(self) -> DataFrame:
         orders = self.raw("orders").select("o_orderkey", "o_custkey")
         return self.raw("lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
-    @cached_property
+    @property
     def transactions(self) -> DataFrame:
+        return self._stored("transactions", self._transactions)
+
+    def _transactions(self) -> DataFrame:
         amount = F.round("l_extendedprice")
         grouped = self._lines.groupBy(
             "l_suppkey",
@@ -118,7 +137,7 @@ class Tables:
             F.count_distinct("l_partkey").cast("short").alias("count_distinct"),
         )
         return grouped.select(
-            cell_id(F.col("l_suppkey")).alias("h3_09"),
+            cell_id("l_suppkey").alias("h3_09"),
             "customer_id",
             "datetime_id",
             "count",
@@ -131,18 +150,21 @@ class Tables:
             "mcc_code",
         )
 
-    @cached_property
+    @property
     def withdrawals(self) -> DataFrame:
+        return self._stored("withdrawals", self._withdrawals)
+
+    def _withdrawals(self) -> DataFrame:
         pairs = self._lines.filter("l_returnflag = 'R' AND l_quantity < 10")
         return (
             pairs.select(F.col("o_custkey").alias("customer_id"), "l_suppkey")
             .distinct()
-            .select("customer_id", cell_id(F.col("l_suppkey")).alias("h3_09"))
+            .select("customer_id", cell_id("l_suppkey").alias("h3_09"))
         )
 
     def _cells(self, suppliers: DataFrame) -> DataFrame:
         return suppliers.select(
-            cell_id(F.col("s_suppkey")).alias("h3_09"),
+            cell_id("s_suppkey").alias("h3_09"),
             F.expr(LAT.format(k="s_suppkey")).alias("lat"),
             F.expr(LON.format(k="s_suppkey")).alias("lon"),
         )
@@ -173,7 +195,7 @@ class Tables:
                 )
             )
         )
-        centre = cell_id(F.floor(F.col("p_partkey") / 20).cast("long"))
+        centre = cell_id("(p_partkey div 20)")
         return self.raw("part").select(
             F.col("p_partkey").alias("id"),
             tags.alias("tags"),

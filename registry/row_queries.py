@@ -254,7 +254,7 @@ def _(t):
 
 def _damaged_ids(t):
     """Ids from parts: valid, wrong mode, a used digit 7, an unused digit not 7, not hexadecimal."""
-    n = cells.cell_to_long(cell_id(F.col("p_partkey")))
+    n = cells.cell_to_long(cell_id("p_partkey"))
 
     def bit(value: int):
         return F.lit(value).cast("long")
