@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hexledger.functions import cells
+from hexledger.session import counted_side
 
 
 def customer_stats(tx: DataFrame) -> DataFrame:
@@ -109,6 +110,19 @@ def tags_per_cell(places: DataFrame, part_chars: int = 1 << 20) -> DataFrame:
     return listed.select("h3_09", "part", F.concat_ws(" ", repeated).alias("combined_tags"))
 
 
+def cell_tag_keys(places: DataFrame) -> DataFrame:
+    """(h3_09, tags_key): a fixed-size key, equal for cells with equal names in equal numbers.
+
+    Stands for the joined text where only equality of the texts matters, as in a category index.
+    """
+    digest = F.sum(F.xxhash64("place_name").cast("decimal(20,0)"))
+    return (
+        places.filter("place_name IS NOT NULL")
+        .groupBy(F.col("h3_09_center").alias("h3_09"))
+        .agg(F.concat_ws(":", F.count("*"), digest).alias("tags_key"))
+    )
+
+
 def top_center_names(places: DataFrame, k: int = 30) -> DataFrame:
     """The names and their counts at the `k` centres with the most places, one row per name."""
     counts = places.groupBy("h3_09_center", "place_name").agg(F.count("*").alias("name_count"))
@@ -162,7 +176,7 @@ def parent_cell_avg(tx: DataFrame, resolution: int = 8) -> DataFrame:
     parent = f"h3_{resolution:02d}"
     rows = tx.withColumn(parent, cells.cell_to_parent(F.col("h3_09"), resolution))
     means = rows.groupBy(parent).agg(F.avg("sum").alias("avg_sum"))
-    return rows.join(means, parent, "left")
+    return rows.join(counted_side(means, "parent_cells"), parent, "left")
 
 
 def parent_cell_totals(tx: DataFrame, resolution: int) -> DataFrame:
@@ -180,7 +194,7 @@ def atm_density(tx: DataFrame, atm_cells: DataFrame, resolution: int = 8) -> Dat
         F.count("*").alias("atm_count")
     )
     rows = tx.withColumn(parent, cells.cell_to_parent(F.col("h3_09"), resolution))
-    return rows.join(density, parent, "left").na.fill(0, subset=["atm_count"])
+    return rows.join(counted_side(density, "density"), parent, "left").na.fill(0, subset=["atm_count"])
 
 
 def empty_token_count(df: DataFrame, tokens: str = "tokens") -> DataFrame:

@@ -36,17 +36,6 @@ def hashing_tf(df: DataFrame, tokens: str, out: str = "tags_features", buckets:
     return HashingTF(inputCol=tokens, outputCol=out, numFeatures=buckets).transform(df)
 
 
-def whole_tags(places: DataFrame) -> DataFrame:
-    """(h3_09, combined_tags): one text per cell, the parts of `tags_per_cell` joined in order.
-
-    The text of a cell is a single value here. Model features do not need it, see
-    `cell_tag_vectors`.
-    """
-    parts = aggregates.tags_per_cell(places)
-    listed = parts.groupBy("h3_09").agg(F.array_sort(F.collect_list(F.struct("part", "combined_tags"))).alias("p"))
-    return listed.select("h3_09", F.concat_ws(" ", "p.combined_tags").alias("combined_tags"))
-
-
 def cell_tag_vectors(places: DataFrame, buckets: int = TAG_BUCKETS) -> DataFrame:
     """(h3_09, tags_features): hashed term counts of all place names of a cell.
 
@@ -79,10 +68,19 @@ def training_rows(withdrawals: DataFrame, tx: DataFrame, locations: DataFrame) -
     return rows.fill_null_numbers(rows.drop_null_rows(data, ["lat", "lon"]), NUMERIC_FEATURES)
 
 
+def with_tag_text(df: DataFrame, tags: DataFrame, label: str) -> DataFrame:
+    """Attach the tag text of `tags_per_cell`, `label` where there is none.
+
+    One row per row of `df`, except at cells so full that their text has several parts: there the
+    row repeats with each `part`, so that no text of unbounded size is ever one value.
+    """
+    attached = rows.default_label(joins.attach(df, tags, "h3_09"), "combined_tags", label)
+    return attached.withColumn("part", F.coalesce("part", F.lit(0)))
+
+
 def training_set(withdrawals: DataFrame, tx: DataFrame, locations: DataFrame, tags: DataFrame) -> DataFrame:
     """`training_rows` with the tag text of the cell, `Unknown` where there is none."""
-    data = joins.attach(training_rows(withdrawals, tx, locations), tags, "h3_09")
-    return rows.default_label(data, "combined_tags", UNKNOWN_TAGS)
+    return with_tag_text(training_rows(withdrawals, tx, locations), tags, UNKNOWN_TAGS)
 
 
 def training_vectors(withdrawals: DataFrame, tx: DataFrame, locations: DataFrame, places: DataFrame) -> DataFrame:
@@ -90,12 +88,28 @@ def training_vectors(withdrawals: DataFrame, tx: DataFrame, locations: DataFrame
     return with_tag_vectors(training_rows(withdrawals, tx, locations), cell_tag_vectors(places))
 
 
-def classification_set(withdrawals: DataFrame, tx: DataFrame, locations: DataFrame, tags: DataFrame) -> DataFrame:
-    """Transactions at withdrawal pairs with known cells and the tag text; missing deviations are 0."""
+def classification_rows(withdrawals: DataFrame, tx: DataFrame, locations: DataFrame) -> DataFrame:
+    """Transactions at withdrawal pairs with known cells; missing deviations are 0."""
     data = joins.matched(tx, (withdrawals, ["h3_09", "customer_id"]), (locations.select("h3_09"), "h3_09"))
-    data = joins.attach(data, tags, "h3_09").na.fill(0, subset=["std"])
-    data = rows.default_label(data, "combined_tags", UNKNOWN_TAGS_CLASSIFICATION)
-    return rows.drop_null_rows(data, CLASSIFICATION_FEATURES)
+    return rows.drop_null_rows(data.na.fill(0, subset=["std"]), CLASSIFICATION_FEATURES)
+
+
+def classification_set(withdrawals: DataFrame, tx: DataFrame, locations: DataFrame, tags: DataFrame) -> DataFrame:
+    """`classification_rows` with the tag text of the cell."""
+    return with_tag_text(classification_rows(withdrawals, tx, locations), tags, UNKNOWN_TAGS_CLASSIFICATION)
+
+
+def classification_keys(
+    withdrawals: DataFrame, tx: DataFrame, locations: DataFrame, places: DataFrame
+) -> DataFrame:
+    """`classification_rows` with the tag key of the cell: the input of the classifiers.
+
+    The classifiers only index the texts as categories, for which equal keys serve as well.
+    """
+    data = joins.attach(
+        classification_rows(withdrawals, tx, locations), aggregates.cell_tag_keys(places), "h3_09"
+    )
+    return rows.default_label(data, "tags_key", UNKNOWN_TAGS_CLASSIFICATION)
 
 
 def string_index(df: DataFrame, column: str, out: str, invalid: str = "error") -> StringIndexerModel:

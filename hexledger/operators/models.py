@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
@@ -24,6 +25,7 @@ from pyspark.ml.regression import (
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from hexledger.functions import values
 from hexledger.operators.features import CLASSIFICATION_FEATURES, feature_names
@@ -138,15 +140,17 @@ def train_coordinates(
     `folds=None` skips cross-validation. Both models score one frame, so no join pairs their
     predictions. The metrics carry the error of the constant predictor next to the model's.
     """
-    fitted = {}
-    for coord in ("lon", "lat"):
+
+    def fit(coord: str) -> Model:
         estimator = regressor(kind, coord, f"predicted_{coord}", **settings)
         if folds is None:
-            fitted[coord] = estimator.fit(train)
-        else:
-            evaluator = RegressionEvaluator(labelCol=coord, predictionCol=f"predicted_{coord}", metricName="mae")
-            points = param_grid(estimator, grid or {})
-            fitted[coord] = cross_validate(estimator, points, evaluator, train, folds).bestModel
+            return estimator.fit(train)
+        evaluator = RegressionEvaluator(labelCol=coord, predictionCol=f"predicted_{coord}", metricName="mae")
+        return cross_validate(estimator, param_grid(estimator, grid or {}), evaluator, train, folds).bestModel
+
+    # The two fits are independent; side by side they fill the gaps between each other's short jobs.
+    with ThreadPool(2) as pool:
+        fitted = dict(zip(("lon", "lat"), pool.map(inheritable_thread_target(train.sparkSession)(fit), ("lon", "lat"))))
     scored = fitted["lat"].transform(fitted["lon"].transform(test))
     return CoordinateModels(kind, fitted["lon"], fitted["lat"], scored, coordinate_metrics(train, scored, kind))
 
@@ -178,7 +182,7 @@ def coordinate_metrics(train: DataFrame, scored: DataFrame, kind: str) -> DataFr
     return measured.select(F.inline("m"))
 
 
-def classifier_stages(mcc: str = "mcc_code", label: str = "h3_09", tags: str | None = "combined_tags") -> list:
+def classifier_stages(mcc: str = "mcc_code", label: str = "h3_09", tags: str | None = "tags_key") -> list:
     """Indexers and assembler in front of a classifier; the label is the cell id."""
     stages = [
         StringIndexer(inputCol=mcc, outputCol="mcc_index", handleInvalid="keep"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hexledger.operators import quantiles as Q
 from hexledger.operators.rows import numeric_columns
-from hexledger.session import materialize
+from hexledger.session import counted_side, materialize
 
 
 def _moments(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -166,7 +166,7 @@ def boxplot_stats(df: DataFrame, columns: list[str], by: list[str] | None = None
     )
     within = (F.col("value") >= F.col("lo_fence")) & (F.col("value") <= F.col("hi_fence"))
     return (
-        ordered.join(fences, keys)
+        ordered.join(counted_side(fences, "fences"), keys)
         .groupBy(*keys, "q1", "median", "q3")
         .agg(
             F.min(F.when(within, F.col("value"))).alias("whisker_low"),

@@ -6,6 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# A side of a join is sent to every executor only after it was found to hold at most this many rows.
+BROADCAST_ROWS = 200_000
 
 _LOCAL_SHARED: dict[str, str] = {}
 
@@ -71,3 +75,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def counted_side(df: DataFrame, name: str) -> DataFrame:
+    """A join side, written and counted: broadcast when it is small, joined by shuffling otherwise.
+
+    For narrow aggregates whose size Spark cannot estimate. Without this, the large side would be
+    shuffled before the small one is known to be small.
+    """
+    stored = materialize(df, name)
+    return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hexledger.functions import values
-from hexledger.operators import aggregates, features, metrics, quality, sets
+from hexledger.operators import aggregates, metrics, quality, sets
 from hexledger.plans.reports import TOP_CELLS, TOP_LABELS
 from registry.core import query
 from registry.join_queries import CENTROID_SQL, CUSTOMER_CELL_SQL, CUSTOMER_SQL, centroid_predictions, rounded_std
@@ -211,7 +211,7 @@ def _(t):
 )
 def _(t):
     pairs = t.transactions.select("h3_09", "customer_id").join(t.withdrawals, ["h3_09", "customer_id"])
-    tagged = pairs.join(features.whole_tags(t.places), "h3_09", "left")
+    tagged = pairs.join(aggregates.tags_per_cell(t.places), "h3_09", "left")
     return aggregates.empty_token_count(tagged.withColumn("tokens", values.tokens(F.col("combined_tags"))))
 
 

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from hexledger.operators import aggregates, features, joins, quality
+from hexledger.operators import aggregates, joins, quality
 from registry.core import query
 
 CUSTOMER_SQL = """
@@ -40,12 +40,13 @@ def _(t):
 
 @query(
     "join_left_dims",
-    """SELECT h3_09, customer_id, lat, lon, combined_tags
+    """SELECT h3_09, customer_id, lat, lon, CASE WHEN combined_tags IS NOT NULL THEN 0::bigint END AS part,
+              combined_tags
        FROM withdrawals LEFT JOIN locations USING (h3_09) LEFT JOIN cell_tags USING (h3_09)""",
 )
 def _(t):
     with_place = joins.attach(t.withdrawals, t.locations, "h3_09")
-    return joins.attach(with_place, features.whole_tags(t.places), "h3_09")
+    return joins.attach(with_place, aggregates.tags_per_cell(t.places), "h3_09")
 
 
 @query(

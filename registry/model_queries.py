@@ -9,7 +9,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from hexledger.operators import features, models, rows
+from hexledger.operators import aggregates, features, models, rows
 from hexledger.plans import classification, regression
 from hexledger.session import scratch_path
 from registry.bindings import Tables
@@ -27,7 +27,7 @@ _TRAINING_SQL = f"""
            coalesce(location_transaction_count, 0) AS location_transaction_count,
            coalesce(location_avg_amount, 0) AS location_avg_amount,
            coalesce(location_unique_mcc_count, 0) AS location_unique_mcc_count, lat, lon,
-           coalesce(combined_tags, 'Unknown') AS combined_tags
+           coalesce(combined_tags, 'Unknown') AS combined_tags, 0::bigint AS part
     FROM withdrawals LEFT JOIN ({CUSTOMER_SQL.replace('FROM tx', 'FROM (' + _CAPPED + ')')}) USING (customer_id)
     LEFT JOIN ({CUSTOMER_CELL_SQL.replace('FROM tx', 'FROM (' + _CAPPED + ')')}) USING (customer_id, h3_09)
     JOIN locations USING (h3_09) LEFT JOIN cell_tags USING (h3_09)"""
@@ -94,18 +94,20 @@ def _(t):
 @query("training_set", _TRAINING_SQL)
 def _(t):
     capped = rows.amount_cap(t.transactions)
-    return rounded_std(features.training_set(t.withdrawals, capped, t.locations, features.whole_tags(t.places)))
+    return rounded_std(features.training_set(t.withdrawals, capped, t.locations, aggregates.tags_per_cell(t.places)))
 
 
 @query(
     "classification_set",
     """SELECT h3_09, customer_id, datetime_id, "count", "sum", "avg", "min", "max", coalesce(std, 0) AS std,
-              count_distinct, mcc_code, coalesce(combined_tags, 'Не известно') AS combined_tags
+              count_distinct, mcc_code, coalesce(combined_tags, 'Не известно') AS combined_tags, 0::bigint AS part
        FROM tx JOIN withdrawals USING (h3_09, customer_id) JOIN locations USING (h3_09)
        LEFT JOIN cell_tags USING (h3_09)""",
 )
 def _(t):
-    return features.classification_set(t.withdrawals, t.transactions, t.locations, features.whole_tags(t.places))
+    return features.classification_set(
+        t.withdrawals, t.transactions, t.locations, aggregates.tags_per_cell(t.places)
+    )
 
 
 @lru_cache(maxsize=4)
@@ -117,7 +119,7 @@ def _regression_split(app: str, sf_dir: str, spark):
 @lru_cache(maxsize=4)
 def _classification_split(app: str, sf_dir: str, spark):
     t = Tables(spark, sf_dir)
-    return classification.prepared_split(t.transactions, t.withdrawals, t.locations, features.whole_tags(t.places))
+    return classification.prepared_split(t.transactions, t.withdrawals, t.locations, t.places)
 
 
 def regression_split(t):
@@ -162,7 +164,7 @@ def _(t):
     return models.search_report(models.cross_validate(estimator, grid, evaluator, train), grid, t.spark)
 
 
-def _classified(t, estimator, tags="combined_tags"):
+def _classified(t, estimator, tags="tags_key"):
     train, test = classification_split(t)
     fitted = models.train_classifier(models.classifier_stages(tags=tags), estimator, train)
     return fitted.transform(test)

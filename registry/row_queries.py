@@ -65,11 +65,10 @@ def _(t):
 @query(
     "default_label",
     """SELECT h3_09, CASE WHEN combined_tags IS NULL OR combined_tags = '' THEN 'Unknown' ELSE combined_tags END
-              AS combined_tags FROM locations LEFT JOIN cell_tags USING (h3_09)""",
+              AS combined_tags, 0::bigint AS part FROM locations LEFT JOIN cell_tags USING (h3_09)""",
 )
 def _(t):
-    tagged = t.locations.select("h3_09").join(features.whole_tags(t.places), "h3_09", "left")
-    return rows.default_label(tagged, "combined_tags", "Unknown")
+    return features.with_tag_text(t.locations.select("h3_09"), aggregates.tags_per_cell(t.places), "Unknown")
 
 
 @query(

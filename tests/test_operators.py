@@ -49,11 +49,31 @@ def test_large_cells_are_cut_into_parts_without_loss(spark):
 
 def test_summed_tag_vectors_equal_the_vector_of_the_joined_text(spark, tables):
     summed = {r["h3_09"]: r["tags_features"].toArray() for r in features.cell_tag_vectors(tables.places).collect()}
-    whole = features.hashing_tf(features.tokenize(features.whole_tags(tables.places), "combined_tags"), "tags_tokens")
+    whole = features.hashing_tf(features.tokenize(aggregates.tags_per_cell(tables.places), "combined_tags"), "tags_tokens")
     for r in whole.collect():
         assert np.array_equal(summed[r["h3_09"]], r["tags_features"].toArray())
 
 
+def test_tag_keys_follow_the_joined_texts(spark):
+    cells = {"a": ["x", "y", "x"], "b": ["x", "x", "y"], "c": ["x", "y"], "d": ["xy"], "e": ["x", "y", "y"]}
+    rows_ = [(n, c, name) for c, names in cells.items() for n, name in enumerate(names)]
+    places = spark.createDataFrame(rows_, "id long, h3_09_center string, place_name string")
+    keys = {r["h3_09"]: r["tags_key"] for r in aggregates.cell_tag_keys(places).collect()}
+    assert keys["a"] == keys["b"] and len(set(keys.values())) == 4
+
+
+def test_tag_text_repeats_rows_only_at_cells_with_parts(spark):
+    places = spark.createDataFrame(
+        [(i, "hot", f"name {i}") for i in range(100)] + [(500, "cold", "one")],
+        "id long, h3_09_center string, place_name string",
+    )
+    pairs = spark.createDataFrame([(1, "hot"), (1, "cold"), (1, "bare")], "customer_id long, h3_09 string")
+    got = features.with_tag_text(pairs, aggregates.tags_per_cell(places, part_chars=200), "Unknown").collect()
+    by_cell = {c: [r for r in got if r["h3_09"] == c] for c in ("hot", "cold", "bare")}
+    assert len(by_cell["hot"]) > 1 and sum(r["combined_tags"].count("name") for r in by_cell["hot"]) == 100
+    assert [(r["part"], r["combined_tags"]) for r in by_cell["cold"] + by_cell["bare"]] == [(0, "one"), (0, "Unknown")]
+
+
 def test_unknown_tag_vector(spark, tables):
     vectors = features.cell_tag_vectors(tables.places)
     cells = spark.createDataFrame([("nowhere",)], "h3_09 string")
