@@ -89,20 +89,20 @@ def tags_per_cell(places: DataFrame, part_chars: int = 1 << 20) -> DataFrame:
     A cell whose names need at most `part_chars` characters, which is every ordinary cell, has the
     single part 0. A larger cell is cut into as many parts as its size calls for, by a hash of the
     row, so no task ever gathers a whole cell of unbounded size and no name is lost.
-    Names are sorted inside a part. Equal names are shuffled once with their count.
+    Names are sorted inside a part.
     """
     named = places.select(F.col("h3_09_center").alias("h3_09"), "id", "place_name").filter("place_name IS NOT NULL")
-    sizes = named.groupBy("h3_09").agg(
-        F.greatest(
-            F.ceil(F.sum(F.length("place_name") + 1) / F.lit(float(part_chars))).cast("long"), F.lit(1)
-        ).alias("parts")
-    )
-    counted = (
-        named.join(sizes, "h3_09")
-        .withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
-        .groupBy("h3_09", "part", "place_name")
-        .agg(F.count("*").alias("n"))
-    )
+    parts = F.ceil(F.sum(F.length("place_name") + 1) / F.lit(float(part_chars))).cast("long")
+    over_full = counted_side(named.groupBy("h3_09").agg(parts.alias("parts")).filter("parts > 1"), "over_full")
+    # The explicit exchange keeps the groups below from running inside the partitions of the join,
+    # where all parts of a cell would meet.
+    spread = (
+        named.join(over_full, "h3_09", "left")
+        .withColumn("part", F.coalesce(F.pmod(F.xxhash64("id"), F.col("parts")), F.lit(0)))
+        .select("h3_09", "part", "place_name")
+        .repartition("h3_09", "part")
+    )
+    counted = spread.groupBy("h3_09", "part", "place_name").agg(F.count("*").alias("n"))
     listed = counted.groupBy("h3_09", "part").agg(
         F.array_sort(F.collect_list(F.struct("place_name", "n"))).alias("names")
     )

@@ -164,9 +164,11 @@ def boxplot_stats(df: DataFrame, columns: list[str], by: list[str] | None = None
         (F.col("q")[0] - 1.5 * (F.col("q")[2] - F.col("q")[0])).alias("lo_fence"),
         (F.col("q")[2] + 1.5 * (F.col("q")[2] - F.col("q")[0])).alias("hi_fence"),
     )
+    # Joined per range partition of the key, so that a key with most of the values is not one task.
+    spans = ordered.select(*keys, "part").distinct().join(fences, keys)
     within = (F.col("value") >= F.col("lo_fence")) & (F.col("value") <= F.col("hi_fence"))
     return (
-        ordered.join(counted_side(fences, "fences"), keys)
+        ordered.join(counted_side(spans, "fences"), [*keys, "part"])
         .groupBy(*keys, "q1", "median", "q3")
         .agg(
             F.min(F.when(within, F.col("value"))).alias("whisker_low"),
