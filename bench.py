@@ -11,6 +11,7 @@ import time
 
 import registry
 from hexledger.session import build_session
+from registry.bindings import Tables
 
 HEADLINE = [
     "cell_totals",
@@ -63,9 +64,11 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
-    # Start the executors and read the footers once, so that the first query is not charged for it.
-    registry.QUERIES["overall_totals"](spark, sf_dir).collect()
-    seconds = {}
+    # The base tables are derived and stored once; the first figure is what that takes.
+    began = time.perf_counter()
+    tables = Tables(spark, sf_dir)
+    stored_rows = tables.transactions.count() + tables.withdrawals.count()
+    seconds = {"store_base_tables": round(time.perf_counter() - began, 3)}
     for name in HEADLINE:
         began = time.perf_counter()
         registry.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
@@ -77,6 +80,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
+                "stored_rows": stored_rows,
                 "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1],
             }
         )

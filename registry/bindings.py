@@ -12,10 +12,11 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from hexledger.functions import cells
 from hexledger.plans.reports import named_places
-from hexledger.session import materialize
+from hexledger.session import scratch_path
 
 # A resolution-9 id with base cell 8: nine base-7 digits of the key, unused digits 7.
 _ID_LEVELS = 9
@@ -93,7 +94,7 @@ SQL_VIEWS = {
 
 # Stored base tables by (application, directory, table): transactions and withdrawals are derived from
 # the line items once per application, as an ingest job would, and every query reads the stored rows.
-_STORED: dict[tuple[str, str, str], DataFrame] = {}
+_STORED: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 
 class Tables:
@@ -109,8 +110,11 @@ class Tables:
     def _stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         if key not in _STORED:
-            _STORED[key] = materialize(build(), name)
-        return _STORED[key]
+            df, path = build(), scratch_path(self.spark, name)
+            df.write.parquet(path)
+            _STORED[key] = path, df.schema
+        path, schema = _STORED[key]
+        return self.spark.read.schema(schema).parquet(path)
 
     @cached_property
     def _lines(self) -> DataFrame:
