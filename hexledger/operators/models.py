@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import partial
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
@@ -88,9 +89,13 @@ def cross_validate(
     evaluator: Evaluator,
     train: DataFrame,
     folds: int = FOLDS,
-    parallelism: int = 4,
+    parallelism: int = 1,
 ) -> CrossValidatorModel:
-    """k-fold grid search; a `fold` column of `train` decides the folds if there is one."""
+    """k-fold grid search; a `fold` column of `train` decides the folds if there is one.
+
+    One grid point at a time by default: the validator's threads share one set of local properties,
+    and now and then one of them fails for it. Every fit is a distributed job either way.
+    """
     validator = CrossValidator(
         estimator=estimator,
         estimatorParamMaps=grid,
@@ -149,8 +154,11 @@ def train_coordinates(
         return cross_validate(estimator, param_grid(estimator, grid or {}), evaluator, train, folds).bestModel
 
     # The two fits are independent; side by side they fill the gaps between each other's short jobs.
-    with ThreadPool(2) as pool:
-        fitted = dict(zip(("lon", "lat"), pool.map(inheritable_thread_target(train.sparkSession)(fit), ("lon", "lat"))))
+    # Each is wrapped on its own: threads that share one set of local properties disturb each other.
+    session = train.sparkSession
+    tasks = {coord: inheritable_thread_target(session)(partial(fit, coord)) for coord in ("lon", "lat")}
+    with ThreadPool(len(tasks)) as pool:
+        fitted = dict(zip(tasks, pool.map(lambda task: task(), tasks.values())))
     scored = fitted["lat"].transform(fitted["lon"].transform(test))
     return CoordinateModels(kind, fitted["lon"], fitted["lat"], scored, coordinate_metrics(train, scored, kind))
 
