@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,8 @@ from pyspark.sql import functions as F
 # A side of a join is sent to every executor only after it was found to hold at most this many rows.
 BROADCAST_ROWS = 200_000
 
-_LOCAL_SHARED: dict[str, str] = {}
+# Applications whose scratch folder is removed when the driver's process ends.
+_CLEANED: set[str] = set()
 
 
 def build_session(
@@ -43,26 +45,28 @@ def build_session(
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach: `spark.checkpoint.dir`.
+    """The folder all executors can reach: `spark.checkpoint.dir`, else the warehouse."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
 
-    Only a local-mode session, where driver and executors are one process, may fall back to
-    a temporary folder.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    app = context.applicationId
-    if app not in _LOCAL_SHARED:
-        _LOCAL_SHARED[app] = tempfile.mkdtemp(prefix="hexledger-")
-    return _LOCAL_SHARED[app]
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Spark's own file systems."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _clean(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the session may have ended before the process
+        remove(spark, path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for one written intermediate."""
-    return f"{shared_dir(spark).rstrip('/')}/hexledger/{name}-{uuid.uuid4().hex}"
+    """A fresh path for one written intermediate; removed at the end of the application."""
+    folder = f"{shared_dir(spark).rstrip('/')}/hexledger/{spark.sparkContext.applicationId}"
+    if folder not in _CLEANED:
+        _CLEANED.add(folder)
+        atexit.register(_clean, spark, folder)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
