@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hexledger.llm import quality_classifier, quality_rules
+from hexledger.llm import bpe, quality_classifier, quality_rules
 from hexledger.llm.frames import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,10 +27,24 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(documents, trusted).drop("text")
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.decode(bpe.encode(documents, path).drop("text"), path).select(
+        "doc_id",
+        F.expr("octet_length(ids) div 4").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_quality_classifier": op2_quality_classifier,
         "op5_quality_rules": op5_quality_rules,
+        "op6_bpe": op6_bpe,
     }
 
 
