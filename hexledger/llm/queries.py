@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hexledger.llm import bpe, quality_classifier, quality_rules
+from hexledger.llm import bpe, quality_classifier, quality_rules, sharding, warc
 from hexledger.llm.frames import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(read_table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     trusted = quality_rules.trusted(read_table(spark, sf_dir, "labels"))
@@ -40,13 +44,39 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = warc.write(read_table(spark, sf_dir, "pages"))
+    return warc.read(spark, files).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact"
+    )
+
+
+# SHA-1 in base32: eight groups of five hex digits, each four characters of five bits.
+OP10_SQL = """
+WITH p AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+), firsts AS (SELECT h, min(page_id) AS first_id FROM p GROUP BY h)
+SELECT p.page_id, p.payload_bytes,
+    array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        (('0x' || substr(p.h, (i // 4) * 5 + 1, 5))::BIGINT >> (15 - 5 * (i % 4))::BIGINT & 31)::INT + 1, 1)), '')
+        AS payload_digest,
+    CASE WHEN p.page_id IS DISTINCT FROM first_id AND first_id IS NOT NULL THEN 'revisit' ELSE 'response' END
+        AS record_type,
+    CASE WHEN p.page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to,
+    true AS intact
+FROM p JOIN firsts USING (h)
+"""
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_quality_classifier": op2_quality_classifier,
+        "op4_sharding": op4_sharding,
         "op5_quality_rules": op5_quality_rules,
         "op6_bpe": op6_bpe,
+        "op10_warc": op10_warc,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_warc": OP10_SQL}
