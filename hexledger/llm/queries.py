@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hexledger.llm import bpe, quality_classifier, quality_rules, sharding, warc
+from hexledger.llm import bpe, quality_classifier, quality_rules, sharding, url_filter, warc
 from hexledger.llm.frames import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,70 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge(pages).select("page_id", "host", "path", "rule", "verdict")
+
+
+_PADDED = "repeat(chr(2), 4) || u || chr(3)"
+# The two models by joins of n-gram counts: p1 to p5 build up the probabilities length by length.
+OP9_SQL = (
+    f"""
+WITH parts AS (
+    SELECT page_id, coalesce(url, '') AS u,
+        CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS tail FROM pages
+), split AS (
+    SELECT page_id, u, translate(regexp_extract(tail, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(tail, '^[^/?#]*([^?#]*)', 1) AS path FROM parts
+), rules (verdict, rhost, rpath) AS (
+    VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+        ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
+), named AS (
+    SELECT s.*, (SELECT max(struct_pack(l := length(rhost || rpath), rule := rhost || rpath, v := verdict))
+        FROM rules WHERE (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)) AS best
+    FROM split s
+), ruled AS (SELECT * EXCLUDE (best), best.rule AS rule, best.v AS ruled FROM named),
+seen AS (SELECT ruled, {_PADDED} AS s, length(u) AS n FROM ruled WHERE rule IS NOT NULL),
+ends AS (SELECT ruled, s, unnest(range(n + 1)) AS i FROM seen),
+grams AS (
+    SELECT k, substr(s, i + 6 - k, k) AS gram, sum((ruled = 'allow')::INT) AS a, sum((ruled = 'block')::INT) AS r
+    FROM ends, range(1, 6) t(k) GROUP BY ALL
+), contexts AS (SELECT k, left(gram, k - 1) AS context, sum(a) AS ca, sum(r) AS cr FROM grams GROUP BY ALL),
+kept AS (
+    SELECT g.*, ca, cr FROM grams g JOIN contexts c ON g.k = c.k AND left(gram, g.k - 1) = context
+    WHERE a + r >= greatest(4, (SELECT ceil(sum(a + r) / 32768.0) FROM grams WHERE k = 5))
+), p0 AS (SELECT '' AS gram, 1 / 256::DOUBLE AS pa, 1 / 256::DOUBLE AS pr),
+"""
+    + ",\n".join(
+        f"""p{k} AS (
+    SELECT g.gram, (a + 2 * pa) / (ca + 2) AS pa, (r + 2 * pr) / (cr + 2) AS pr
+    FROM kept g JOIN p{k - 1} p ON right(g.gram, {k - 1}) = p.gram WHERE g.k = {k}
+)"""
+        for k in range(1, 6)
+    )
+    + f""",
+model AS (
+    {" UNION ALL ".join(f"SELECT {k} AS k, gram, ln(pa) - ln(pr) AS gain FROM p{k}" for k in range(1, 6))}
+), urls AS (SELECT DISTINCT u, {_PADDED} AS s, length(u) AS n FROM ruled),
+places AS (SELECT u, s, unnest(range(n + 1)) AS i FROM urls),
+best AS (
+    SELECT u, i, max_by(gain, m.k) AS gain
+    FROM places, range(1, 6) t(k) LEFT JOIN model m ON m.k = t.k AND m.gram = substr(s, i + 6 - t.k, t.k)
+    GROUP BY u, i
+), scores AS (SELECT u, round(sum(coalesce(gain, 0)) / count(*), 6) AS score FROM best GROUP BY u),
+known AS (SELECT DISTINCT u, ruled FROM ruled WHERE rule IS NOT NULL),
+spread AS (
+    SELECT avg(score) FILTER (ruled = 'allow') AS ma, stddev_pop(score) FILTER (ruled = 'allow') AS sa,
+        avg(score) FILTER (ruled = 'block') AS mb, stddev_pop(score) FILTER (ruled = 'block') AS sb
+    FROM known JOIN scores USING (u)
+), cut AS (SELECT round((ma * sb + mb * sa) / (sa + sb), 6) AS threshold FROM spread)
+SELECT page_id, host, path, rule,
+    coalesce(ruled, CASE WHEN score >= threshold THEN 'allow' ELSE 'block' END) AS verdict
+FROM ruled JOIN scores USING (u), cut
+"""
+)
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = warc.write(read_table(spark, sf_dir, "pages"))
     return warc.read(spark, files).select(
@@ -74,9 +138,10 @@ def queries() -> dict[str, Query]:
         "op4_sharding": op4_sharding,
         "op5_quality_rules": op5_quality_rules,
         "op6_bpe": op6_bpe,
+        "op9_url_filter": op9_url_filter,
         "op10_warc": op10_warc,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_warc": OP10_SQL}
+    return {"op9_url_filter": OP9_SQL, "op10_warc": OP10_SQL}
