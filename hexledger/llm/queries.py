@@ -7,12 +7,52 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hexledger.llm import bpe, quality_classifier, quality_rules, sharding, url_filter, warc
+from hexledger.llm import bpe, decontamination, quality_classifier, quality_rules, sharding, url_filter, warc
 from hexledger.llm.frames import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.decontaminate(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    ).drop("text_hash")
+
+
+# Every window of ten words of a text is looked up among the items' windows; shorter windows by length.
+OP1_SQL = r"""
+WITH d AS (
+    SELECT doc_id, row_number() OVER () AS row_no,
+        list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+    FROM documents
+), b AS (
+    SELECT item_id,
+        list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+    FROM benchmark
+), item_windows AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[i + 1 : i + 10], ' ') AS win
+    FROM (SELECT item_id, w, unnest(range(greatest(len(w) - 10, 0) + 1)) AS i FROM b WHERE len(w) > 0)
+), sizes AS (SELECT DISTINCT size FROM item_windows),
+places AS (
+    SELECT row_no, size, i, array_to_string(w[i + 1 : i + size], ' ') AS win
+    FROM (SELECT row_no, w, size, unnest(range(len(w) - size + 1)) AS i FROM d, sizes WHERE len(w) >= size)
+), found AS (SELECT row_no, i, p.size, item_id FROM places p JOIN item_windows USING (size, win)),
+hit AS (
+    SELECT row_no, count(DISTINCT word_at) AS n_hit FROM (SELECT row_no, unnest(range(i, i + size)) AS word_at FROM found)
+    GROUP BY row_no
+), ids AS (
+    SELECT row_no, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS listed
+    FROM (SELECT DISTINCT row_no, item_id::VARCHAR AS id FROM found WHERE item_id IS NOT NULL) GROUP BY row_no
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+    coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (row_no) LEFT JOIN ids USING (row_no)
+"""
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     weights = quality_classifier.train(documents, read_table(spark, sf_dir, "labels"))
@@ -134,6 +174,7 @@ FROM p JOIN firsts USING (h)
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_decontamination": op1_decontamination,
         "op2_quality_classifier": op2_quality_classifier,
         "op4_sharding": op4_sharding,
         "op5_quality_rules": op5_quality_rules,
@@ -144,4 +185,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_url_filter": OP9_SQL, "op10_warc": OP10_SQL}
+    return {"op1_decontamination": OP1_SQL, "op9_url_filter": OP9_SQL, "op10_warc": OP10_SQL}
