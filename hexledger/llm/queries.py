@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hexledger.llm import bpe, decontamination, quality_classifier, quality_rules, sharding, url_filter, warc
+from hexledger.llm import bpe, decontamination, line_dedup, quality_classifier, quality_rules, sharding, url_filter, warc
 from hexledger.llm.frames import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +84,42 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(documents).select(
+        "doc_id", "n_lines", "n_removed", "n_runs", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
+# The same runs, found by their whole content instead of ranks.
+OP8_SQL = r"""
+WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
+l AS (
+    SELECT doc_id, i AS line, len(list_filter(string_split_regex(lines[i], '[\x20\x09-\x0D]+'),
+        lambda x: x <> '')) AS words FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM d)
+), c AS (SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY line) AS upto FROM l),
+runs AS (
+    SELECT a.doc_id, a.line AS s, min(b.line) AS e
+    FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.upto >= a.upto - a.words + 10 GROUP BY ALL
+    UNION
+    SELECT a.doc_id, max(b.line) AS s, a.line AS e
+    FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.upto - b.words <= a.upto - 10 GROUP BY a.doc_id, a.line
+), named AS (
+    SELECT doc_id, s, e, array_to_string(lines[s : e], chr(10)) AS content FROM runs JOIN d USING (doc_id)
+), copies AS (
+    SELECT *, row_number() OVER (PARTITION BY content ORDER BY doc_id, s) AS nth FROM named
+), gone AS (SELECT DISTINCT doc_id, unnest(range(s, e + 1)) AS line FROM copies WHERE nth > 1),
+kept AS (
+    SELECT l.doc_id, l.line, g.line IS NULL AS kept FROM l LEFT JOIN gone g USING (doc_id, line)
+), marked AS (
+    SELECT *, NOT kept AND coalesce(lag(kept) OVER (PARTITION BY doc_id ORDER BY line), true) AS opens FROM kept
+)
+SELECT doc_id, count(*)::INT AS n_lines, sum((NOT kept)::INT)::INT AS n_removed, sum(opens::INT)::INT AS n_runs,
+    sha256(coalesce(string_agg(lines[line], chr(10) ORDER BY line) FILTER (kept), '')) AS kept_sha256
+FROM marked JOIN d USING (doc_id) GROUP BY doc_id
+"""
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judge(pages).select("page_id", "host", "path", "rule", "verdict")
@@ -179,10 +215,11 @@ def queries() -> dict[str, Query]:
         "op4_sharding": op4_sharding,
         "op5_quality_rules": op5_quality_rules,
         "op6_bpe": op6_bpe,
+        "op8_line_dedup": op8_line_dedup,
         "op9_url_filter": op9_url_filter,
         "op10_warc": op10_warc,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": OP1_SQL, "op9_url_filter": OP9_SQL, "op10_warc": OP10_SQL}
+    return {"op1_decontamination": OP1_SQL, "op8_line_dedup": OP8_SQL, "op9_url_filter": OP9_SQL, "op10_warc": OP10_SQL}
