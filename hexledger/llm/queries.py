@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hexledger.llm import bpe, decontamination, line_dedup, quality_classifier, quality_rules, sharding, url_filter, warc
+from hexledger.llm import bpe, decontamination, line_dedup, near_dedup, quality_classifier, quality_rules, sharding, url_filter, warc
 from hexledger.llm.frames import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +84,33 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.components_of(read_table(spark, sf_dir, "documents")).drop("text_hash", "label")
+
+
+# All pairs of documents that share a shingle, and the components of the similar ones.
+OP7_SQL = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), s AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i + 1 : i + 5], ' ') AS shingle
+    FROM (SELECT doc_id, w, unnest(range(greatest(len(w) - 5, 0) + 1)) AS i FROM w WHERE len(w) > 0)
+), n AS (SELECT doc_id, count(*) AS n_shingles FROM s GROUP BY doc_id),
+shared AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both_have
+    FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+    SELECT x, y FROM shared JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+    WHERE 100 * both_have >= 85 * (nx.n_shingles + ny.n_shingles - both_have)
+), reach (x, y) AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+least_of AS (SELECT x, min(y) AS least_id FROM reach GROUP BY x)
+SELECT doc_id, coalesce(n_shingles, 0) AS n_shingles, least(doc_id, coalesce(least_id, doc_id)) AS component_id,
+    doc_id <= coalesce(least_id, doc_id) AS kept
+FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN least_of ON x = doc_id
+"""
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(documents).select(
@@ -208,6 +235,12 @@ FROM p JOIN firsts USING (h)
 """
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": op1_decontamination,
@@ -215,11 +248,13 @@ def queries() -> dict[str, Query]:
         "op4_sharding": op4_sharding,
         "op5_quality_rules": op5_quality_rules,
         "op6_bpe": op6_bpe,
+        "op7_near_dedup": op7_near_dedup,
         "op8_line_dedup": op8_line_dedup,
         "op9_url_filter": op9_url_filter,
         "op10_warc": op10_warc,
+        "pipeline": pipeline,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": OP1_SQL, "op8_line_dedup": OP8_SQL, "op9_url_filter": OP9_SQL, "op10_warc": OP10_SQL}
+    return {"op1_decontamination": OP1_SQL, "op7_near_dedup": OP7_SQL, "op8_line_dedup": OP8_SQL, "op9_url_filter": OP9_SQL, "op10_warc": OP10_SQL}
