@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hexledger.llm import bpe, decontamination, line_dedup, near_dedup, quality_classifier, quality_rules, sharding, url_filter, warc
+from hexledger.llm import bpe, decontamination, line_dedup, near_dedup, quality_classifier, quality_rules, sharding, suffix_dedup, url_filter, warc
 from hexledger.llm.frames import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,12 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), spans=False).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read_table(spark, sf_dir, "documents"))
 
@@ -245,6 +251,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": op1_decontamination,
         "op2_quality_classifier": op2_quality_classifier,
+        "op3_suffix_dedup": op3_suffix_dedup,
         "op4_sharding": op4_sharding,
         "op5_quality_rules": op5_quality_rules,
         "op6_bpe": op6_bpe,
