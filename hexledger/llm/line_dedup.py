@@ -159,28 +159,26 @@ def dedup_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     deleted only inside a run. Columns that clash with the new names are replaced.
     """
     runs = materialize(deleted_runs(documents, min_words), "deleted-runs").withColumnsRenamed(
-        {"doc_id": "r_doc", "text_hash": "r_hash"}
+        {"doc_id": "_doc", "text_hash": "_hash", "runs": "_runs"}
     )
     new = ["n_lines", "n_removed", "n_runs"]
-    hashed = documents.drop(*new, "runs", "text_hash", "r_doc", "r_hash").withColumn(
-        "text_hash", F.xxhash64("text")
-    )
-    on = same(F.col("doc_id"), F.col("r_doc")) & (F.col("text_hash") == F.col("r_hash"))
-    joined = hashed.join(counted(runs, runs.count(), BROADCAST_DOCUMENTS), on, "left")
+    rows = documents.drop(*new)
+    on = same(F.col("doc_id"), F.col("_doc")) & (F.xxhash64("text") == F.col("_hash"))
+    joined = rows.join(counted(runs, runs.count(), BROADCAST_DOCUMENTS), on, "left")
     lines = F.split("text", "\n")
     # The stretches between the deleted ones.
     kept = F.zip_with(
-        F.concat(F.array(F.lit(0)), F.transform("runs", lambda r: r["to"] + 1)),
-        F.concat(F.transform("runs", lambda r: r["from"]), F.array(F.size(lines))),
+        F.concat(F.array(F.lit(0)), F.transform("_runs", lambda r: r["to"] + 1)),
+        F.concat(F.transform("_runs", lambda r: r["from"]), F.array(F.size(lines))),
         lambda first, after: F.struct(first.alias("first"), after.alias("after")),
     )
     kept = F.filter(kept, lambda k: k["first"] < k["after"])
     rest = F.array_join(F.flatten(F.transform(kept, lambda k: F.slice(lines, k["first"] + 1, k["after"] - k["first"]))), "\n")
-    removed = F.aggregate("runs", F.lit(0), lambda n, r: n + r["to"] - r["from"] + 1)
-    text = F.when(F.col("runs").isNull(), F.col("text")).otherwise(rest)
+    removed = F.aggregate("_runs", F.lit(0), lambda n, r: n + r["to"] - r["from"] + 1)
+    text = F.when(F.col("_runs").isNull(), F.col("text")).otherwise(rest)
     return joined.select(
-        *(text.alias("text") if c == "text" else F.col(c) for c in hashed.columns if c != "text_hash"),
+        *(text.alias("text") if c == "text" else F.col(c) for c in rows.columns),
         F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).alias("n_lines"),
         F.coalesce(removed, F.lit(0)).alias("n_removed"),
-        F.when(F.col("runs").isNull(), 0).otherwise(F.size("runs")).alias("n_runs"),
+        F.when(F.col("_runs").isNull(), 0).otherwise(F.size("_runs")).alias("n_runs"),
     )

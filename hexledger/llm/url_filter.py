@@ -180,7 +180,9 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     A url decided by a rule has a null score. Null and empty URLs are scored by the end of the URL alone.
     Repeated rows are judged alike. Columns that clash with the new names are replaced.
     """
-    ruled = with_rules(pages.drop("score", "verdict", "u"), rules).withColumn(
+    # Own columns of the input with the names of working columns are set aside meanwhile.
+    aside = {c: f"_kept_{c}" for c in pages.columns if c.lower() in ("u", "ruled", "after")}
+    ruled = with_rules(pages.drop("score", "verdict").withColumnsRenamed(aside), rules).withColumn(
         "u", F.coalesce("url", F.lit(""))
     )
     known = materialize(
@@ -195,4 +197,5 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         .withColumn("score", F.when(F.col("rule").isNull(), F.col("score")))
         .withColumn("verdict", F.coalesce("ruled", by_model))
         .drop("u", "ruled")
+        .withColumnsRenamed({kept: c for c, kept in aside.items()})
     )
