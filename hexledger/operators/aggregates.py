@@ -83,43 +83,23 @@ def word_frequency(places: DataFrame, tx: DataFrame) -> DataFrame:
     )
 
 
-def tags_per_cell(places: DataFrame, part_chars: int = 1 << 20) -> DataFrame:
-    """The place names of each cell joined by spaces, in parts: (h3_09, part, combined_tags).
-
-    A cell whose names need at most `part_chars` characters, which is every ordinary cell, has the
-    single part 0. A larger cell is cut into as many parts as its size calls for, by a hash of the
-    row, so no task ever gathers a whole cell of unbounded size and no name is lost.
-    Names are sorted inside a part.
-    """
-    named = places.select(F.col("h3_09_center").alias("h3_09"), "id", "place_name").filter("place_name IS NOT NULL")
-    parts = F.ceil(F.sum(F.length("place_name") + 1) / F.lit(float(part_chars))).cast("long")
-    over_full = counted_side(named.groupBy("h3_09").agg(parts.alias("parts")).filter("parts > 1"), "over_full")
-    # The explicit exchange keeps the groups below from running inside the partitions of the join,
-    # where all parts of a cell would meet.
-    spread = (
-        named.join(over_full, "h3_09", "left")
-        .withColumn("part", F.coalesce(F.pmod(F.xxhash64("id"), F.col("parts")), F.lit(0)))
-        .select("h3_09", "part", "place_name")
-        .repartition("h3_09", "part")
-    )
-    counted = spread.groupBy("h3_09", "part", "place_name").agg(F.count("*").alias("n"))
-    listed = counted.groupBy("h3_09", "part").agg(
-        F.array_sort(F.collect_list(F.struct("place_name", "n"))).alias("names")
-    )
-    repeated = F.transform("names", lambda x: F.concat_ws(" ", F.array_repeat(x["place_name"], x["n"].cast("int"))))
-    return listed.select("h3_09", "part", F.concat_ws(" ", repeated).alias("combined_tags"))
+def tags_per_cell(places: DataFrame) -> DataFrame:
+    """(h3_09, place_name, name_count): the names of each cell, one row per name whatever their number."""
+    named = places.filter("place_name IS NOT NULL")
+    return named.groupBy(F.col("h3_09_center").alias("h3_09"), "place_name").agg(F.count("*").alias("name_count"))
 
 
 def cell_tag_keys(places: DataFrame) -> DataFrame:
     """(h3_09, tags_key): a fixed-size key, equal for cells with equal names in equal numbers.
 
-    Stands for the joined text where only equality of the texts matters, as in a category index.
+    The number of names and the sum of the first 60 bits of their md5. Stands for the joined text of a cell,
+    which would be one value of unbounded size.
     """
-    digest = F.sum(F.xxhash64("place_name").cast("decimal(20,0)"))
+    bits = F.conv(F.substring(F.md5(F.col("place_name").cast("binary")), 1, 15), 16, 10).cast("decimal(20,0)")
     return (
         places.filter("place_name IS NOT NULL")
         .groupBy(F.col("h3_09_center").alias("h3_09"))
-        .agg(F.concat_ws(":", F.count("*"), digest).alias("tags_key"))
+        .agg(F.concat_ws(":", F.count("*"), F.sum(bits)).alias("tags_key"))
     )
 
 
@@ -197,9 +177,9 @@ def atm_density(tx: DataFrame, atm_cells: DataFrame, resolution: int = 8) -> Dat
     return rows.join(counted_side(density, "density"), parent, "left").na.fill(0, subset=["atm_count"])
 
 
-def empty_token_count(df: DataFrame, tokens: str = "tokens") -> DataFrame:
-    empty = F.col(tokens).isNull() | (F.size(tokens) == 0)
-    return df.agg(F.count_if(empty).alias("empty_tokens"))
+def empty_token_count(df: DataFrame, n_tokens: str = "n_tokens") -> DataFrame:
+    """Rows without any token; `n_tokens` is their number, null where there are none."""
+    return df.agg(F.count_if(F.coalesce(F.col(n_tokens), F.lit(0)) == 0).alias("empty_tokens"))
 
 
 def cell_census(df: DataFrame, column: str = "h3_09") -> DataFrame:

@@ -68,19 +68,14 @@ def training_rows(withdrawals: DataFrame, tx: DataFrame, locations: DataFrame) -
     return rows.fill_null_numbers(rows.drop_null_rows(data, ["lat", "lon"]), NUMERIC_FEATURES)
 
 
-def with_tag_text(df: DataFrame, tags: DataFrame, label: str) -> DataFrame:
-    """Attach the tag text of `tags_per_cell`, `label` where there is none.
-
-    One row per row of `df`, except at cells so full that their text has several parts: there the
-    row repeats with each `part`, so that no text of unbounded size is ever one value.
-    """
-    attached = rows.default_label(joins.attach(df, tags, "h3_09"), "combined_tags", label)
-    return attached.withColumn("part", F.coalesce("part", F.lit(0)))
+def with_tag_key(df: DataFrame, places: DataFrame, label: str) -> DataFrame:
+    """Attach the tag key of the cell, `label` where it has no names: exactly one row per row of `df`."""
+    return rows.default_label(joins.attach(df, aggregates.cell_tag_keys(places), "h3_09"), "tags_key", label)
 
 
-def training_set(withdrawals: DataFrame, tx: DataFrame, locations: DataFrame, tags: DataFrame) -> DataFrame:
-    """`training_rows` with the tag text of the cell, `Unknown` where there is none."""
-    return with_tag_text(training_rows(withdrawals, tx, locations), tags, UNKNOWN_TAGS)
+def training_set(withdrawals: DataFrame, tx: DataFrame, locations: DataFrame, places: DataFrame) -> DataFrame:
+    """`training_rows` with the tag key of the cell, `Unknown` where there is none."""
+    return with_tag_key(training_rows(withdrawals, tx, locations), places, UNKNOWN_TAGS)
 
 
 def training_vectors(withdrawals: DataFrame, tx: DataFrame, locations: DataFrame, places: DataFrame) -> DataFrame:
@@ -94,22 +89,14 @@ def classification_rows(withdrawals: DataFrame, tx: DataFrame, locations: DataFr
     return rows.drop_null_rows(data.na.fill(0, subset=["std"]), CLASSIFICATION_FEATURES)
 
 
-def classification_set(withdrawals: DataFrame, tx: DataFrame, locations: DataFrame, tags: DataFrame) -> DataFrame:
-    """`classification_rows` with the tag text of the cell."""
-    return with_tag_text(classification_rows(withdrawals, tx, locations), tags, UNKNOWN_TAGS_CLASSIFICATION)
-
-
-def classification_keys(
+def classification_set(
     withdrawals: DataFrame, tx: DataFrame, locations: DataFrame, places: DataFrame
 ) -> DataFrame:
     """`classification_rows` with the tag key of the cell: the input of the classifiers.
 
     The classifiers only index the texts as categories, for which equal keys serve as well.
     """
-    data = joins.attach(
-        classification_rows(withdrawals, tx, locations), aggregates.cell_tag_keys(places), "h3_09"
-    )
-    return rows.default_label(data, "tags_key", UNKNOWN_TAGS_CLASSIFICATION)
+    return with_tag_key(classification_rows(withdrawals, tx, locations), places, UNKNOWN_TAGS_CLASSIFICATION)
 
 
 def string_index(df: DataFrame, column: str, out: str, invalid: str = "error") -> StringIndexerModel:

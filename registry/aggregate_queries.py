@@ -73,7 +73,10 @@ def _(t):
     return aggregates.customer_cell_stats(t.transactions)
 
 
-@query("tags_per_cell", "SELECT h3_09, 0::bigint AS part, combined_tags FROM cell_tags")
+@query(
+    "tags_per_cell",
+    "SELECT h3_09_center AS h3_09, place_name, count(*) AS name_count FROM places GROUP BY h3_09_center, place_name",
+)
 def _(t):
     return aggregates.tags_per_cell(t.places)
 
@@ -207,12 +210,13 @@ def _(t):
 @query(
     "empty_token_count",
     """SELECT count(*) AS empty_tokens FROM tx JOIN withdrawals USING (h3_09, customer_id)
-       LEFT JOIN cell_tags USING (h3_09) WHERE combined_tags IS NULL""",
+       LEFT JOIN cell_tags USING (h3_09) WHERE tags_key IS NULL""",
 )
 def _(t):
     pairs = t.transactions.select("h3_09", "customer_id").join(t.withdrawals, ["h3_09", "customer_id"])
-    tagged = pairs.join(aggregates.tags_per_cell(t.places), "h3_09", "left")
-    return aggregates.empty_token_count(tagged.withColumn("tokens", values.tokens(F.col("combined_tags"))))
+    names = t.places.select(F.col("h3_09_center").alias("h3_09"), F.size(values.tokens(F.col("place_name"))).alias("n"))
+    tokens = names.groupBy("h3_09").agg(F.sum("n").alias("n_tokens"))
+    return aggregates.empty_token_count(pairs.join(tokens, "h3_09", "left"))
 
 
 FAVOURITE_SQL = """

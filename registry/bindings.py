@@ -85,7 +85,7 @@ SQL_VIEWS = {
         SELECT p_partkey AS id, h3_09_center, lat, lon, lower(trim(p_name)) AS place_name
         FROM poi JOIN part ON id = p_partkey WHERE p_size % 7 <> 0 AND p_size % 2 = 0 AND trim(p_name) <> ''""",
     "cell_tags": """
-        SELECT h3_09_center AS h3_09, string_agg(place_name, ' ' ORDER BY place_name) AS combined_tags
+        SELECT h3_09_center AS h3_09, count(*) || ':' || sum(('0x' || substr(md5(place_name), 1, 15))::BIGINT) AS tags_key
         FROM places GROUP BY h3_09_center""",
     "tx_points": """
         SELECT tx.*, lat, lon FROM tx JOIN locations USING (h3_09)""",

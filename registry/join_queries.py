@@ -40,13 +40,12 @@ def _(t):
 
 @query(
     "join_left_dims",
-    """SELECT h3_09, customer_id, lat, lon, CASE WHEN combined_tags IS NOT NULL THEN 0::bigint END AS part,
-              combined_tags
+    """SELECT h3_09, customer_id, lat, lon, tags_key
        FROM withdrawals LEFT JOIN locations USING (h3_09) LEFT JOIN cell_tags USING (h3_09)""",
 )
 def _(t):
     with_place = joins.attach(t.withdrawals, t.locations, "h3_09")
-    return joins.attach(with_place, aggregates.tags_per_cell(t.places), "h3_09")
+    return joins.attach(with_place, aggregates.cell_tag_keys(t.places), "h3_09")
 
 
 @query(

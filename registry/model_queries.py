@@ -27,7 +27,7 @@ _TRAINING_SQL = f"""
            coalesce(location_transaction_count, 0) AS location_transaction_count,
            coalesce(location_avg_amount, 0) AS location_avg_amount,
            coalesce(location_unique_mcc_count, 0) AS location_unique_mcc_count, lat, lon,
-           coalesce(combined_tags, 'Unknown') AS combined_tags, 0::bigint AS part
+           coalesce(tags_key, 'Unknown') AS tags_key
     FROM withdrawals LEFT JOIN ({CUSTOMER_SQL.replace('FROM tx', 'FROM (' + _CAPPED + ')')}) USING (customer_id)
     LEFT JOIN ({CUSTOMER_CELL_SQL.replace('FROM tx', 'FROM (' + _CAPPED + ')')}) USING (customer_id, h3_09)
     JOIN locations USING (h3_09) LEFT JOIN cell_tags USING (h3_09)"""
@@ -94,20 +94,18 @@ def _(t):
 @query("training_set", _TRAINING_SQL)
 def _(t):
     capped = rows.amount_cap(t.transactions)
-    return rounded_std(features.training_set(t.withdrawals, capped, t.locations, aggregates.tags_per_cell(t.places)))
+    return rounded_std(features.training_set(t.withdrawals, capped, t.locations, t.places))
 
 
 @query(
     "classification_set",
     """SELECT h3_09, customer_id, datetime_id, "count", "sum", "avg", "min", "max", coalesce(std, 0) AS std,
-              count_distinct, mcc_code, coalesce(combined_tags, 'Не известно') AS combined_tags, 0::bigint AS part
+              count_distinct, mcc_code, coalesce(tags_key, 'Не известно') AS tags_key
        FROM tx JOIN withdrawals USING (h3_09, customer_id) JOIN locations USING (h3_09)
        LEFT JOIN cell_tags USING (h3_09)""",
 )
 def _(t):
-    return features.classification_set(
-        t.withdrawals, t.transactions, t.locations, aggregates.tags_per_cell(t.places)
-    )
+    return features.classification_set(t.withdrawals, t.transactions, t.locations, t.places)
 
 
 @lru_cache(maxsize=4)

@@ -64,11 +64,10 @@ def _(t):
 
 @query(
     "default_label",
-    """SELECT h3_09, CASE WHEN combined_tags IS NULL OR combined_tags = '' THEN 'Unknown' ELSE combined_tags END
-              AS combined_tags, 0::bigint AS part FROM locations LEFT JOIN cell_tags USING (h3_09)""",
+    """SELECT h3_09, coalesce(tags_key, 'Unknown') AS tags_key FROM locations LEFT JOIN cell_tags USING (h3_09)""",
 )
 def _(t):
-    return features.with_tag_text(t.locations.select("h3_09"), aggregates.tags_per_cell(t.places), "Unknown")
+    return features.with_tag_key(t.locations.select("h3_09"), t.places, "Unknown")
 
 
 @query(

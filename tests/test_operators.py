@@ -36,20 +36,19 @@ def test_word_frequency_equals_the_row_join(spark, tables):
     assert got == want
 
 
-def test_large_cells_are_cut_into_parts_without_loss(spark):
-    names = [(i, "hot", f"name {i % 50}") for i in range(2000)] + [(9999, "cold", "only one")]
+def test_names_of_a_large_cell_are_rows(spark):
+    names = [(i, "hot", f"name {i % 50}") for i in range(2000)] + [(9999, "cold", "only one"), (1, "cold", None)]
     places = spark.createDataFrame(names, "id long, h3_09_center string, place_name string")
-    parts = aggregates.tags_per_cell(places, part_chars=1000).collect()
-    hot = [r for r in parts if r["h3_09"] == "hot"]
-    assert len(hot) > 10 and max(len(r["combined_tags"]) for r in hot) < 4000
-    words = sorted(w for r in hot for w in r["combined_tags"].split("name ")[1:])
-    assert [int(w) for w in words] == sorted((i % 50 for i in range(2000)), key=str)
-    assert [(r["part"], r["combined_tags"]) for r in parts if r["h3_09"] == "cold"] == [(0, "only one")]
+    got = {(r["h3_09"], r["place_name"]): r["name_count"] for r in aggregates.tags_per_cell(places).collect()}
+    assert got == {("hot", f"name {i}"): 40 for i in range(50)} | {("cold", "only one"): 1}
 
 
 def test_summed_tag_vectors_equal_the_vector_of_the_joined_text(spark, tables):
     summed = {r["h3_09"]: r["tags_features"].toArray() for r in features.cell_tag_vectors(tables.places).collect()}
-    whole = features.hashing_tf(features.tokenize(aggregates.tags_per_cell(tables.places), "combined_tags"), "tags_tokens")
+    joined = tables.places.groupBy(F.col("h3_09_center").alias("h3_09")).agg(
+        F.concat_ws(" ", F.collect_list("place_name")).alias("text")
+    )
+    whole = features.hashing_tf(features.tokenize(joined, "text"), "tags_tokens")
     for r in whole.collect():
         assert np.array_equal(summed[r["h3_09"]], r["tags_features"].toArray())
 
@@ -62,16 +61,15 @@ def test_tag_keys_follow_the_joined_texts(spark):
     assert keys["a"] == keys["b"] and len(set(keys.values())) == 4
 
 
-def test_tag_text_repeats_rows_only_at_cells_with_parts(spark):
+def test_rows_do_not_depend_on_the_names_of_a_cell(spark):
     places = spark.createDataFrame(
-        [(i, "hot", f"name {i}") for i in range(100)] + [(500, "cold", "one")],
+        [(i, "hot", f"name {i}") for i in range(10_000)] + [(1, "cold", "one")],
         "id long, h3_09_center string, place_name string",
     )
-    pairs = spark.createDataFrame([(1, "hot"), (1, "cold"), (1, "bare")], "customer_id long, h3_09 string")
-    got = features.with_tag_text(pairs, aggregates.tags_per_cell(places, part_chars=200), "Unknown").collect()
-    by_cell = {c: [r for r in got if r["h3_09"] == c] for c in ("hot", "cold", "bare")}
-    assert len(by_cell["hot"]) > 1 and sum(r["combined_tags"].count("name") for r in by_cell["hot"]) == 100
-    assert [(r["part"], r["combined_tags"]) for r in by_cell["cold"] + by_cell["bare"]] == [(0, "one"), (0, "Unknown")]
+    pairs = spark.createDataFrame([(1, "hot"), (1, "cold"), (1, "bare"), (2, "bare")], "customer_id long, h3_09 string")
+    got = features.with_tag_key(pairs, places, "Unknown").collect()
+    assert len(got) == 4 and {r["tags_key"] for r in got if r["h3_09"] == "bare"} == {"Unknown"}
+    assert all(len(r["tags_key"]) < 40 for r in got)
 
 
 def test_unknown_tag_vector(spark, tables):
