@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hexledger.operators import quantiles as Q
@@ -132,21 +132,27 @@ def histogram(df: DataFrame, columns: list[str], bins: int = 45, log1p: bool = F
     With `log1p` the logarithm of 1 + value is counted, for columns with any positive value.
     Empty bins have no row.
     """
-    freq = Q.value_frequencies(df, columns)
+    values = {c: F.col(f"`{c}`").cast("double") for c in columns}
     if log1p:
-        freq = freq.withColumn("value", F.log1p("value"))
-    bounds = freq.groupBy("column_name").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-    if log1p:
-        bounds = bounds.filter("hi > 0")
-    # One row per column of the input.
-    placed = freq.join(F.broadcast(bounds), "column_name")
+        values = {c: F.log1p(v) for c, v in values.items()}
+    # One row of bounds; then every row is binned where it is read, and only counts per bin are shuffled.
+    bounds = df.agg(
+        F.struct(*[f(v).alias(f"{c}_{n}") for c, v in values.items() for n, f in (("lo", F.min), ("hi", F.max))])
+    ).scalar()
+
+    def placed(c: str, v: Column) -> Column:
+        lo, hi = bounds[f"{c}_lo"], bounds[f"{c}_hi"]
+        index = F.when(hi == lo, 0).otherwise(F.least(F.floor((v - lo) / ((hi - lo) / bins)), F.lit(bins - 1)))
+        counts = v.isNotNull() & (hi > 0) if log1p else v.isNotNull()
+        return F.struct(
+            F.lit(c).alias("column_name"), F.when(counts, index).cast("int").alias("bin"), lo.alias("lo"), hi.alias("hi")
+        )
+
+    rows = df.select(F.inline(F.array(*[placed(c, v) for c, v in values.items()]))).where("bin IS NOT NULL")
     width = (F.col("hi") - F.col("lo")) / bins
-    index = F.when(F.col("hi") == F.col("lo"), 0).otherwise(
-        F.least(F.floor((F.col("value") - F.col("lo")) / width), F.lit(bins - 1))
-    )
     return (
-        placed.groupBy("column_name", index.cast("int").alias("bin"), "lo", "hi")
-        .agg(F.sum("n").alias("n"))
+        rows.groupBy("column_name", "bin", "lo", "hi")
+        .agg(F.count("*").alias("n"))
         .select("column_name", "bin", (F.col("lo") + F.col("bin") * width).alias("bin_low"), "n")
     )
 

@@ -23,11 +23,11 @@ def prepare(
     """The four base tables from the raw files.
 
     `cells` (h3_09, lat, lon) is the cell dimension that gives the centre of every listed id.
-    A place gets the square-grid key of its own position and the nearest listed cell.
+    A place gets the square-grid key of its own position, in a column of its own, and the nearest listed cell.
     """
     locations = sets.union_distinct(*[readers.read_id_list(spark, path, cells) for path in id_lists])
     places = rows.not_null(readers.read_parquet(spark, poi), "tags")
-    places = places.withColumn("h3_09", spatial.square_grid_key(F.col("lat"), F.col("lon"), grid_step))
+    places = places.withColumn("grid_key", spatial.square_grid_key(F.col("lat"), F.col("lon"), grid_step))
     places = spatial.nearest_site(places, locations, "h3_09", name="h3_09_center").drop("nearest_distance")
     return {
         "locations": locations,
@@ -44,9 +44,8 @@ def store(tables: dict[str, DataFrame], database: str, location: str) -> None:
     for name in ("locations", "poi"):
         writers.rewrite_orc(tables[name], f"{database}.{name}", f"{location}/{name}")
     target = f"{location}/transactions"
-    writers.write_partitioned(tables["transactions"], target, ["datetime_id", "mcc_code"])
-    spark.catalog.createTable(f"{database}.transactions", path=target, source="orc")
-    spark.catalog.recoverPartitions(f"{database}.transactions")
+    name = f"{database}.transactions"
+    writers.write_partitioned(tables["transactions"], target, ["datetime_id", "mcc_code"], table=name)
     writers.write_bucketed(
         tables["cash_withdrawals"], f"{database}.cash_withdrawals", f"{location}/cash_withdrawals", "customer_id"
     )

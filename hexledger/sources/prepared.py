@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,13 +27,18 @@ def load_or_build(
 ) -> tuple[DataFrame, DataFrame]:
     """The stored (train, test) pair, or the pair from `build()`, stored first.
 
-    Only a missing success marker leads to a rebuild; a failing read is an error. Both ways return
-    frames that read the stored rows, so everything after sees the same split.
+    Only a missing success marker, or `force`, leads to a rebuild; a failing read is an error. The schema is
+    stored beside the rows, so a later call needs none. Both ways return frames that read the stored rows, so
+    everything after sees the same split.
     """
     parts = {"train": f"{path}/train", "test": f"{path}/test"}
-    if force or schema is None or not all(is_complete(spark, p) for p in parts.values()):
+    described = f"{path}/schema"
+    if force or not all(is_complete(spark, p) for p in (*parts.values(), described)):
         built = dict(zip(parts, build()))
-        schema = built["train"].schema
         for name, df in built.items():
             write_json_lines(df, parts[name])
+        schema = built["train"].schema
+        spark.createDataFrame([(schema.json(),)], "schema string").coalesce(1).write.mode("overwrite").text(described)
+    if schema is None:
+        schema = StructType.fromJson(json.loads(spark.read.text(described, wholetext=True).first()[0]))
     return tuple(read_json_lines(spark, p, schema) for p in parts.values())

@@ -44,20 +44,26 @@ def rewrite_orc(df: DataFrame, table: str, path: str) -> None:
     df.write.mode("overwrite").format("orc").option("path", path).saveAsTable(table)
 
 
-def write_partitioned(df: DataFrame, path: str, by: list[str], fmt: str = "orc") -> None:
+def write_partitioned(df: DataFrame, path: str, by: list[str], fmt: str = "orc", table: str | None = None) -> None:
     """Partitioned layout; only the partitions present in `df` are replaced.
 
+    With `table` the layout is registered under that name with the declared types of the partition columns,
+    which paths alone do not tell.
+
     The rebalance hint gathers rows of one partition value into few files, and splits a value that
     holds much of the table over several tasks.
     """
-    (
+    writer = (
         df.hint("rebalance", *by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by)
         .format(fmt)
-        .save(path)
     )
+    if table:
+        writer.option("path", path).saveAsTable(table)
+    else:
+        writer.save(path)
 
 
 def write_bucketed(
@@ -87,11 +93,16 @@ def write_predictions(df: DataFrame, path: str, max_records_per_file: int = 5_00
     df.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file).parquet(path)
 
 
-def stored_size_mb(spark: SparkSession, path: str, fmt: str) -> float:
-    """Total size of the data files below `path`."""
-    files = spark.read.format(fmt).load(path).select("_metadata.file_path", "_metadata.file_size").distinct()
-    total = files.agg(F.sum("file_size")).first()[0]
-    return round((total or 0) / 1024 / 1024, 4)
+def stored_size_mb(spark: SparkSession, path: str) -> float:
+    """Total size of the files below `path`, from the file system's own listing."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return round(files.getContentSummary(folder).getLength() / 1024 / 1024, 4)
+
+
+def _codec_is_missing(error: PySparkException) -> bool:
+    """Whether a write failed because the format does not know the codec."""
+    return "CODEC" in (error.getCondition() or "") or "codec" in str(error).split("\n", 1)[0].lower()
 
 
 def storage_trial(
@@ -100,7 +111,7 @@ def storage_trial(
     formats: tuple[str, ...] = ("parquet",),
     codecs: tuple[str, ...] = ("Gzip", "Snappy", "Bzip2"),
 ) -> DataFrame:
-    """Write, size and count every table in every format and codec; a failed write is a FAILED row.
+    """Write, size and count every table in every format and codec; a codec the format lacks is a FAILED row.
 
     The uncompressed Parquet size of the table stands for its original size.
     """
@@ -109,7 +120,7 @@ def storage_trial(
     for name, df in tables.items():
         plain = f"{base}/{name}_plain"
         write_files(df, plain, "parquet", "none")
-        original = stored_size_mb(spark, plain, "parquet")
+        original = stored_size_mb(spark, plain)
         source = spark.read.parquet(plain)
         for fmt in formats:
             for codec in codecs:
@@ -117,12 +128,14 @@ def storage_trial(
                 began = time.perf_counter()
                 try:
                     write_files(source, target, fmt, TRIAL_CODECS[fmt].get(codec, codec.lower()))
-                except PySparkException:
+                except PySparkException as error:
+                    if not _codec_is_missing(error):
+                        raise
                     spent = round(time.perf_counter() - began, 3)
                     rows.append((name, fmt, codec, "FAILED", None, None, original, None, spent, None))
                     continue
                 import_time = round(time.perf_counter() - began, 3)
-                size = stored_size_mb(spark, target, fmt)
+                size = stored_size_mb(spark, target)
                 began = time.perf_counter()
                 count = spark.read.format(fmt).load(target).count()
                 read_time = round(time.perf_counter() - began, 3)

@@ -22,10 +22,10 @@ def _table(name: str) -> str:
     return f"{name}_{uuid.uuid4().hex[:12]}"
 
 
-@query("scan_parquet", "SELECT event_id, user_id, event_type, value, props FROM events")
+@query("scan_parquet", "SELECT * REPLACE (strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts) FROM events")
 def _(t):
-    path = f"{t.sf_dir}/events.parquet"
-    return readers.read_parquet(t.spark, path).select("event_id", "user_id", "event_type", "value", "props")
+    events = readers.read_parquet(t.spark, f"{t.sf_dir}/events.parquet")
+    return events.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 
 @query("scan_id_list", "SELECT h3_09, lat, lon FROM (SELECT DISTINCT h3_09 FROM tx) JOIN locations USING (h3_09)")
@@ -103,8 +103,8 @@ def _(t):
     def must_not_run():
         raise AssertionError("the stored split was not used")
 
-    built, _ = prepared.load_or_build(t.spark, path, split)
-    train, test = prepared.load_or_build(t.spark, path, must_not_run, schema=built.schema)
+    prepared.load_or_build(t.spark, path, split)
+    train, test = prepared.load_or_build(t.spark, path, must_not_run)
     both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
     return both.groupBy("part").agg(F.count("*").alias("n"), F.count_distinct("h3_09").alias("n_cells"))
 
@@ -118,14 +118,18 @@ def _(t):
 
 @query(
     "write_partitioned",
-    """SELECT CAST(datetime_id AS integer) AS datetime_id, CAST(mcc_code AS integer) AS mcc_code, count(*) AS n,
-              sum("sum") AS total FROM tx GROUP BY datetime_id, mcc_code""",
+    """SELECT datetime_id, mcc_code, 'smallint' AS kind, count(*) AS n, sum("sum") AS total FROM tx
+       GROUP BY datetime_id, mcc_code""",
 )
 def _(t):
-    path = scratch_path(t.spark, "partitioned")
-    writers.write_partitioned(t.transactions, path, ["datetime_id", "mcc_code"])
-    stored = t.spark.read.orc(path)
-    return stored.groupBy("datetime_id", "mcc_code").agg(F.count("*").alias("n"), F.sum("sum").alias("total"))
+    name = _table("partitioned")
+    writers.write_partitioned(
+        t.transactions, scratch_path(t.spark, "partitioned"), ["datetime_id", "mcc_code"], table=name
+    )
+    stored = t.spark.table(name)
+    return stored.groupBy("datetime_id", "mcc_code", F.typeof("mcc_code").alias("kind")).agg(
+        F.count("*").alias("n"), F.sum("sum").alias("total")
+    )
 
 
 @query("write_bucketed", "SELECT customer_id, h3_09 FROM withdrawals")
@@ -140,12 +144,13 @@ def _(t):
     """SELECT t."table", f.format, f.codec, CASE WHEN f.codec = 'Bzip2' THEN 'FAILED' ELSE 'OK' END AS status,
               CASE WHEN f.codec <> 'Bzip2' THEN t.n END AS rows
        FROM (SELECT 'locations' AS "table", count(*) AS n FROM locations
-             UNION ALL SELECT 'withdrawals', count(*) FROM withdrawals) t,
+             UNION ALL SELECT 'withdrawals', count(*) FROM withdrawals
+             UNION ALL SELECT 'transactions', count(*) FROM tx UNION ALL SELECT 'poi', count(*) FROM poi) t,
             (VALUES ('parquet', 'Gzip'), ('parquet', 'Snappy'), ('parquet', 'Bzip2'),
                     ('orc', 'Gzip'), ('orc', 'Snappy'), ('orc', 'Bzip2')) f(format, codec)""",
 )
 def _(t):
-    tables = {"locations": t.locations, "withdrawals": t.withdrawals}
+    tables = {"locations": t.locations, "withdrawals": t.withdrawals, "transactions": t.transactions, "poi": t.poi}
     trial = writers.storage_trial(tables, scratch_path(t.spark, "codecs"), formats=("parquet", "orc"))
     return trial.select("table", "format", "codec", "status", "rows")
 

@@ -6,7 +6,8 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from hexledger.operators import aggregates, joins, quality
+from hexledger.operators import aggregates, joins, quality, rows
+from hexledger.plans.ingest import TX_NATURAL_KEY
 from registry.core import query
 
 CUSTOMER_SQL = """
@@ -130,6 +131,8 @@ def _(t):
 @query(
     "fk_violations",
     """SELECT 'tx' AS child, h3_09 AS value, count(*) AS rows FROM tx
+       WHERE h3_09 NOT IN (SELECT h3_09 FROM locations) GROUP BY h3_09
+       UNION ALL SELECT 'withdrawals', h3_09, count(*) FROM withdrawals
        WHERE h3_09 NOT IN (SELECT h3_09 FROM locations) GROUP BY h3_09
        UNION ALL SELECT 'withdrawals at atm', h3_09, count(*) FROM withdrawals
        WHERE h3_09 NOT IN (SELECT h3_09 FROM atm) GROUP BY h3_09
@@ -139,6 +142,7 @@ def _(t):
 def _(t):
     checks = {
         "tx": joins.fk_violations(t.transactions, t.locations, "h3_09"),
+        "withdrawals": joins.fk_violations(t.withdrawals, t.locations, "h3_09"),
         "withdrawals at atm": joins.fk_violations(t.withdrawals, t.atm, "h3_09"),
         "poi": joins.fk_violations(t.poi, t.locations, "h3_09_center", "h3_09"),
     }
@@ -152,6 +156,9 @@ def _(t):
        UNION ALL SELECT 'withdrawals', count(*)
        FROM (SELECT 1 FROM withdrawals GROUP BY h3_09, customer_id HAVING count(*) > 1)
        UNION ALL SELECT 'poi', count(*) FROM (SELECT 1 FROM poi GROUP BY id HAVING count(*) > 1)
+       UNION ALL SELECT 'transactions', count(*)
+       FROM (SELECT 1 FROM tx GROUP BY customer_id, h3_09, datetime_id, mcc_code HAVING count(*) > 1)
+       UNION ALL SELECT 'transactions by number', 0
        UNION ALL SELECT 'lineitem', count(*)
        FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)""",
 )
@@ -160,6 +167,8 @@ def _(t):
         "locations": (t.locations, ["h3_09"]),
         "withdrawals": (t.withdrawals, ["h3_09", "customer_id"]),
         "poi": (t.poi, ["id"]),
+        "transactions": (t.transactions, TX_NATURAL_KEY),
+        "transactions by number": (rows.surrogate_key(t.transactions, TX_NATURAL_KEY), ["transaction_pk"]),
         "lineitem": (t.raw("lineitem"), ["l_orderkey", "l_linenumber"]),
     }
     counted = [
@@ -171,10 +180,17 @@ def _(t):
 
 @query(
     "not_null_violations",
-    "SELECT 'std' AS column_name, count(*) AS null_count FROM tx WHERE std IS NULL HAVING count(*) > 0",
+    """SELECT 'transactions' AS table_name, 'std' AS column_name, count(*) AS null_count FROM tx
+       WHERE std IS NULL HAVING count(*) > 0
+       UNION ALL SELECT 'poi', 'tags', count(*) FROM poi WHERE tags IS NULL HAVING count(*) > 0""",
 )
 def _(t):
-    return quality.not_null_violations(t.transactions, ["h3_09", "customer_id", "sum", "std", "mcc_code"])
+    tables = {"transactions": t.transactions, "withdrawals": t.withdrawals, "locations": t.locations, "poi": t.poi}
+    found = [
+        quality.not_null_violations(df, df.columns).withColumn("table_name", F.lit(name))
+        for name, df in tables.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b), found)
 
 
 @query("std_null_rule", 'SELECT count(*) AS violations FROM tx WHERE (std IS NULL) <> ("count" = 1)')

@@ -57,7 +57,11 @@ _PROFILED = {
     "datetime_id": "smallint",
     "count": "smallint",
     "sum": "double",
+    "avg": "double",
+    "min": "double",
+    "max": "double",
     "std": "double",
+    "count_distinct": "smallint",
     "mcc_code": "smallint",
 }
 _PROFILED_NUMERIC = [c for c, kind in _PROFILED.items() if kind != "string"]
