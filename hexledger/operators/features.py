@@ -5,10 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import (
     HashingTF,
-    IndexToString,
     StandardScaler,
-    StringIndexer,
-    StringIndexerModel,
     Tokenizer,
     VectorAssembler,
     VectorSizeHint,
@@ -99,13 +96,19 @@ def classification_set(
     return with_tag_key(classification_rows(withdrawals, tx, locations), places, UNKNOWN_TAGS_CLASSIFICATION)
 
 
-def string_index(df: DataFrame, column: str, out: str, invalid: str = "error") -> StringIndexerModel:
-    """Indexer by descending frequency, ties alphabetical. The different values reach the driver."""
-    return StringIndexer(inputCol=column, outputCol=out, handleInvalid=invalid).fit(df)
+def string_index(df: DataFrame, column: str, out: str) -> DataFrame:
+    """(column, out): the index of every different value by descending frequency, ties alphabetical.
+
+    Ranked by a distributed sort, so the values stay off the driver however many there are. Nulls have none.
+    """
+    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg((-F.count("*")).alias("_less"))
+    return rows.surrogate_key(counts, ["_less", column], out).select(column, F.col(out).cast("double").alias(out))
 
 
-def index_to_string(df: DataFrame, column: str, out: str, labels: list[str]) -> DataFrame:
-    return IndexToString(inputCol=column, outputCol=out, labels=labels).transform(df)
+def index_to_string(df: DataFrame, column: str, out: str, labels: DataFrame) -> DataFrame:
+    """The value of each index; `labels` (value, column) is the result of `string_index`."""
+    (value,) = [c for c in labels.columns if c != column]
+    return joins.attach(df, labels.withColumnRenamed(value, out), column)
 
 
 def scaled_columns(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -42,10 +42,16 @@ def _(t):
     return features.tokenize(loud, "text", "words").select("id", F.concat_ws("|", "words").alias("tokens"))
 
 
-@query("hashing_tf")
+# Which bucket a term falls into is the hash's own affair; that every term is counted once is not.
+@query(
+    "hashing_tf",
+    """SELECT h3_09_center AS h3_09, 25 AS n_buckets,
+              CAST(sum(len(string_split_regex(place_name, '\\s'))) AS double) AS n_terms FROM places GROUP BY 1""",
+)
 def _(t):
-    vectors = features.cell_tag_vectors(t.places)
-    return vectors.select("h3_09", vector_to_array("tags_features").alias("tags_features"))
+    vectors = features.cell_tag_vectors(t.places).select("h3_09", vector_to_array("tags_features").alias("v"))
+    total = F.aggregate("v", F.lit(0.0), lambda a, x: a + x)
+    return vectors.select("h3_09", F.size("v").alias("n_buckets"), total.alias("n_terms"))
 
 
 _SCALED = ["sum", "avg", "min", "max"]
@@ -68,10 +74,20 @@ def _(t):
     )
 
 
-@query("assemble")
+@query(
+    "assemble",
+    "SELECT h3_09, customer_id, "
+    + ", ".join(f'CAST(coalesce("{c}", 0) AS double) AS slot_{c}' for c in features.CLASSIFICATION_FEATURES)
+    + " FROM tx",
+)
 def _(t):
     assembled = features.assemble(t.transactions.na.fill(0, subset=["std"]), features.CLASSIFICATION_FEATURES)
-    return assembled.select("h3_09", "customer_id", vector_to_array("features").alias("features"))
+    slots = vector_to_array("features")
+    return assembled.select(
+        "h3_09",
+        "customer_id",
+        *[slots[i].alias(f"slot_{c}") for i, c in enumerate(features.CLASSIFICATION_FEATURES)],
+    )
 
 
 @query(
@@ -81,14 +97,15 @@ def _(t):
 )
 def _(t):
     cells = t.transactions.select("h3_09")
-    return features.string_index(cells, "h3_09", "label").transform(cells).distinct()
+    return features.string_index(cells, "h3_09", "label")
 
 
 @query("index_to_string", "SELECT h3_09, h3_09 AS decoded FROM withdrawals")
 def _(t):
     cells = t.withdrawals.select("h3_09")
-    indexer = features.string_index(cells, "h3_09", "label")
-    return features.index_to_string(indexer.transform(cells), "label", "decoded", indexer.labels).drop("label")
+    labels = features.string_index(cells, "h3_09", "label")
+    indexed = cells.join(labels, "h3_09")
+    return features.index_to_string(indexed, "label", "decoded", labels).drop("label")
 
 
 @query("training_set", _TRAINING_SQL)
@@ -128,18 +145,65 @@ def classification_split(t):
     return _classification_split(t.spark.sparkContext.applicationId, t.sf_dir, t.spark)
 
 
-@query("feature_pipeline")
+# The split of the training rows by the md5 of their key, as in load_or_build.
+_SPLIT_SQL = """
+    SELECT *, CAST('0x' || substr(md5(concat_ws('|', CAST(customer_id AS varchar), h3_09)), 1, 8) AS bigint) % 100 < 80
+              AS in_train FROM ({rows})"""
+_UNROUNDED_SQL = _TRAINING_SQL.replace('round(stddev_samp("sum"), 4)', 'stddev_samp("sum")')
+_SCALED_SQL = ", ".join(
+    f"round(coalesce({c} / nullif((SELECT stddev_samp({c}) FROM s WHERE in_train), 0), 0), 6) AS {c}"
+    for c in features.NUMERIC_FEATURES
+)
+
+
+@query(
+    "feature_pipeline",
+    f"""WITH s AS ({_SPLIT_SQL.format(rows=_UNROUNDED_SQL)}), n AS (
+            SELECT h3_09_center AS h3_09, CAST(sum(len(string_split_regex(place_name, '\\s'))) AS double) AS terms
+            FROM places GROUP BY 1)
+        SELECT customer_id, h3_09, {_SCALED_SQL}, coalesce(terms, 1) AS tag_terms
+        FROM s LEFT JOIN n USING (h3_09)""",
+)
 def _(t):
     train, test = regression_split(t)
     names = features.feature_names(train)
-    both = train.unionByName(test).select("customer_id", "h3_09", vector_to_array("features").alias("f"))
-    return both.select("customer_id", "h3_09", *[F.col("f")[i].alias(n) for i, n in enumerate(names)])
+    slots = train.unionByName(test).select("customer_id", "h3_09", vector_to_array("features").alias("f"))
+    at = {n: F.col("f")[i] for i, n in enumerate(names)}
+    tags = [n for n in names if n not in features.NUMERIC_FEATURES]
+    return slots.select(
+        "customer_id",
+        "h3_09",
+        *[F.round(at[n], 6).alias(n) for n in features.NUMERIC_FEATURES],
+        sum((at[n] for n in tags), F.lit(0.0)).alias("tag_terms"),
+    )
+
+
+def _train_sql(kind):
+    """The row counts and the error of the constant prediction; the model's error must not be far above it."""
+    parts = " UNION ALL ".join(
+        f"""SELECT '{kind}' AS model, '{c}' AS coord, count(*) FILTER (in_train) AS n_train,
+                   count(*) FILTER (NOT in_train) AS n_test,
+                   round(avg(abs({c} - (SELECT avg({c}) FROM s WHERE in_train))) FILTER (NOT in_train), 6)
+                       AS baseline_mae, true AS mae_is_near_or_below FROM s"""
+        for c in ("lon", "lat")
+    )
+    rows_sql = "SELECT customer_id, h3_09, lat, lon FROM withdrawals JOIN locations USING (h3_09)"
+    return f"WITH s AS ({_SPLIT_SQL.format(rows=rows_sql)}) {parts}"
 
 
 def _train(kind):
     def run(t):
         train, test = regression_split(t)
-        return models.train_coordinates(train, test, kind, folds=None).metrics
+        found = models.train_coordinates(train, test, kind).metrics
+        sizes = train.agg(F.count("*").alias("n_train")).crossJoin(test.agg(F.count("*").alias("n_test")))
+        return found.crossJoin(sizes).select(
+            "model",
+            "coord",
+            "n_train",
+            "n_test",
+            F.round("baseline_mae", 6).alias("baseline_mae"),
+            (F.col("mae") <= 1.25 * F.col("baseline_mae")).alias("mae_is_near_or_below"),
+        )
 
     return run
 
@@ -150,105 +214,160 @@ for _kind, _name in (
     ("random_forest", "train_random_forest"),
     ("gbt", "train_gbt"),
 ):
-    query(_name)(_train(_kind))
+    query(_name, _train_sql(_kind))(_train(_kind))
 
 
-@query("cross_validate")
+@query(
+    "cross_validate",
+    """SELECT coord, 'elasticNetParam=' || e || ', regParam=' || r AS settings, true AS measured
+       FROM (VALUES ('lon'), ('lat')) c(coord), (VALUES ('0.0'), ('0.5'), ('1.0')) e(e), (VALUES ('0.01'), ('0.1')) r(r)""",
+)
 def _(t):
     train, _ = regression_split(t)
-    estimator = models.regressor("linear", "lon")
-    grid = models.param_grid(estimator, models.GRIDS["linear"])
-    evaluator = RegressionEvaluator(labelCol="lon", predictionCol="prediction", metricName="rmse")
-    return models.search_report(models.cross_validate(estimator, grid, evaluator, train), grid, t.spark)
+    reports = []
+    for coord in ("lon", "lat"):
+        estimator = models.regressor("linear", coord)
+        grid = models.param_grid(estimator, models.GRIDS["linear"])
+        evaluator = RegressionEvaluator(labelCol=coord, predictionCol="prediction", metricName="rmse")
+        report = models.search_report(models.cross_validate(estimator, grid, evaluator, train), grid, t.spark)
+        reports.append(report.select(F.lit(coord).alias("coord"), "settings", (F.col("avg_metric") > 0).alias("measured")))
+    return reports[0].unionByName(reports[1])
+
+
+_CLASSIFIED_ROWS_SQL = """
+    SELECT h3_09, customer_id, datetime_id, mcc_code,
+           CAST('0x' || substr(md5(concat_ws('|', CAST(customer_id AS varchar), h3_09, CAST(datetime_id AS varchar),
+                CAST(mcc_code AS varchar))), 1, 8) AS bigint) % 100 < 80 AS in_train
+    FROM tx JOIN withdrawals USING (h3_09, customer_id) JOIN locations USING (h3_09)"""
+
+
+def _scores_sql(*names):
+    return " UNION ALL ".join(
+        f"""SELECT '{n}' AS model, count(*) AS n_scored, true AS is_share
+            FROM ({_CLASSIFIED_ROWS_SQL}) WHERE NOT in_train"""
+        for n in names
+    )
 
 
-def _classified(t, estimator, tags="tags_key"):
+def _classified(t, estimator):
     train, test = classification_split(t)
-    fitted = models.train_classifier(models.classifier_stages(tags=tags), estimator, train)
-    return fitted.transform(test)
+    return models.train_classifier(models.classifier_stages(), estimator, train).transform(test)
 
 
-def _scores(t, scored, name):
-    return models.model_comparison({name: models.accuracy(scored)}, t.spark)
+def _scores(t, scored: dict):
+    comparison = models.model_comparison({n: models.accuracy(df) for n, df in scored.items()}, t.spark)
+    sizes = [(n, df.count()) for n, df in scored.items()]
+    counted = t.spark.createDataFrame(sizes, "model string, n_scored long")
+    return comparison.join(counted, "model").select(
+        "model", "n_scored", F.col("accuracy").between(0, 1).alias("is_share")
+    )
 
 
-@query("train_logistic")
+@query("train_logistic", _scores_sql("logistic"))
 def _(t):
-    return _scores(t, _classified(t, models.logistic(maxIter=10)), "logistic")
+    return _scores(t, {"logistic": _classified(t, models.logistic())})
 
 
-@query("train_rf_classifier")
+@query("train_rf_classifier", _scores_sql("rf_classifier"))
 def _(t):
-    return _scores(t, _classified(t, models.rf_classifier()), "rf_classifier")
+    return _scores(t, {"rf_classifier": _classified(t, models.rf_classifier())})
 
 
-@query("train_mlp")
+@query("train_mlp", _scores_sql("mlp"))
 def _(t):
     train, test = classification_split(t)
-    stages = models.classifier_stages(tags=None)
+    stages = models.classifier_stages()
     # One class per training cell and one for cells not seen.
     classes = train.select("h3_09").distinct().count() + 1
-    network = models.mlp_pipeline(stages, len(features.CLASSIFICATION_FEATURES) + 1, classes, maxIter=20)
-    return _scores(t, network.fit(train).transform(test), "mlp")
+    network = models.mlp_pipeline(stages, len(features.CLASSIFICATION_FEATURES) + 2, classes)
+    return _scores(t, {"mlp": network.fit(train).transform(test)})
 
 
-@query("model_comparison")
+@query("model_comparison", _scores_sql("Logistic Regression", "Random Forest"))
 def _(t):
-    linear = models.logistic(maxIter=5)
-    forest = models.rf_classifier(numTrees=5, maxDepth=5)
-    return models.model_comparison(
-        {
-            "Logistic Regression": models.accuracy(_classified(t, linear, tags=None)),
-            "Random Forest": models.accuracy(_classified(t, forest, tags=None)),
-        },
-        t.spark,
-    )
+    scored = {
+        "Logistic Regression": _classified(t, models.logistic()),
+        "Random Forest": _classified(t, models.rf_classifier()),
+    }
+    return _scores(t, scored)
+
+
+def _parameters_sql(*kinds):
+    names = ", ".join(f"('{n}')" for n in [*(f"tag_feature_{i}" for i in range(25)), *features.NUMERIC_FEATURES])
+    kinds_sql = ", ".join(f"('{k}', '{kind}')" for k, kind in kinds)
+    return f"""SELECT feature, kind, model_type, coord_type, true AS is_number FROM (VALUES {names}) f(feature),
+               (VALUES {kinds_sql}) k(model_type, kind), (VALUES ('lon'), ('lat')) c(coord_type)"""
 
 
-@query("model_parameters")
+def _named(parameters):
+    number = F.col("value").isNotNull() & ~F.isnan("value")
+    return parameters.select("feature", "kind", "model_type", "coord_type", number.alias("is_number"))
+
+
+@query("model_parameters", _parameters_sql(("decision_tree", "importance")))
 def _(t):
     train, test = regression_split(t)
-    fitted = models.train_coordinates(train, test, "decision_tree", folds=None)
-    return models.coordinate_parameters(fitted, t.spark).drop("created_at")
+    return _named(models.coordinate_parameters(models.train_coordinates(train, test, "decision_tree"), t.spark))
 
 
-@query("save_model_params")
+@query("save_model_params", _parameters_sql(("linear", "coefficient"), ("decision_tree", "importance")))
 def _(t):
     train, test = regression_split(t)
     path = scratch_path(t.spark, "model_params")
     for kind in ("linear", "decision_tree"):
-        fitted = models.train_coordinates(train, test, kind, folds=None)
+        fitted = models.train_coordinates(train, test, kind)
         models.save_model_params(models.coordinate_parameters(fitted, t.spark), path)
-    return t.spark.read.parquet(path).drop("created_at")
+    return _named(t.spark.read.parquet(path))
 
 
-@query("save_metrics")
+@query(
+    "save_metrics",
+    """SELECT 'linear' AS model, true AS errors_stored,
+              'elasticNetParam=0.5, maxIter=100, num_folds=3, regParam=0.1, solver=normal' AS settings""",
+)
 def _(t):
     train, test = regression_split(t)
     path = scratch_path(t.spark, "metrics")
-    fitted = models.train_coordinates(train, test, "linear", folds=None)
-    record = models.metrics_record(fitted, models.REGRESSION_SETTINGS["linear"], t.spark)
+    fitted = models.train_coordinates(train, test, "linear")
+    settings = {**models.REGRESSION_SETTINGS["linear"], "num_folds": models.FOLDS}
+    record = models.metrics_record(fitted, settings, t.spark)
     models.save_metrics(record, path)
-    return t.spark.read.schema(record.schema).json(path).select(
-        "model", "longitude_mae", "latitude_mae", F.to_json("model_params").alias("model_params")
+    stored = t.spark.read.schema(record.schema).json(path)
+    entries = F.transform(F.array_sort(F.map_entries("model_params")), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return stored.select(
+        "model",
+        ((F.col("longitude_mae") >= 0) & (F.col("latitude_mae") >= 0)).alias("errors_stored"),
+        F.array_join(entries, ", ").alias("settings"),
     )
 
 
-@query("save_model")
+@query(
+    "save_model",
+    f"SELECT h3_09, customer_id, true AS same FROM ({_CLASSIFIED_ROWS_SQL}) WHERE NOT in_train",
+)
 def _(t):
     train, test = classification_split(t)
     path = scratch_path(t.spark, "model")
-    fitted = models.train_classifier(models.classifier_stages(tags=None), models.logistic(maxIter=3), train)
+    fitted = models.train_classifier(models.classifier_stages(), models.logistic(), train)
     models.save_model(fitted, path)
-    return models.load_pipeline(path).transform(test).select("h3_09", "customer_id", "prediction")
+    in_session = fitted.transform(test).withColumnRenamed("prediction", "here")
+    both = models.load_pipeline(path).transform(in_session.select(*test.columns, "here"))
+    return both.select("h3_09", "customer_id", (F.col("prediction") == F.col("here")).alias("same"))
 
 
-@query("batch_score")
+@query(
+    "batch_score",
+    f"""SELECT customer_id, h3_09, true AS same FROM (
+        {_SPLIT_SQL.format(rows="SELECT customer_id, h3_09 FROM withdrawals JOIN locations USING (h3_09)")})
+        WHERE NOT in_train""",
+)
 def _(t):
     train, test = regression_split(t)
     columns = features.NUMERIC_FEATURES
     plain = features.assemble(train.drop("features"), columns)
-    model = models.regressor("linear", "lon", regParam=0.0, elasticNetParam=0.0).fit(plain)
+    model = models.regressor("linear", "lon", "here", regParam=0.0, elasticNetParam=0.0).fit(plain)
     weights, intercept = np.asarray(model.coefficients.toArray()), float(model.intercept)
     scored = models.batch_score(test, columns, lambda x: x @ weights + intercept)
-    return scored.select("customer_id", "h3_09", F.round("prediction", 6).alias("prediction"))
+    both = model.transform(features.assemble(scored.drop("features"), columns))
+    same = F.abs(F.col("prediction") - F.col("here")) < 1e-9
+    return both.select("customer_id", "h3_09", same.alias("same"))
