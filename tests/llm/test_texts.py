@@ -364,12 +364,13 @@ def chain(n, step):
     return out
 
 
-def test_near_copies_are_grouped(spark, docs, empty, monkeypatch):
+@pytest.mark.parametrize("block", [8, 512])
+def test_near_copies_are_grouped(spark, docs, empty, monkeypatch, block):
     got = near_dedup.components_of(docs).collect()
     assert Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == brute_components(texts())
     assert near_dedup.components_of(empty).count() == 0
     rows = chain(40, 9) + [(2000 + k, prose(300 + k % 3, 100) + " tail" * (k % 2)) for k in range(40)]
-    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
     monkeypatch.setattr(near_dedup, "MEMBERS", 4)
     got = near_dedup.components_of(documents(spark, rows)).collect()
     assert Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == brute_components(rows)

@@ -132,11 +132,10 @@ class _Session:
 
 def test_intermediates_go_to_the_shared_folder():
     assert session.shared_dir(_Session("spark://host:7077", "hdfs://shared/cp")) == "hdfs://shared/cp"
-    assert session.scratch_path(_Session("local[2]", "/shared"), "x").startswith("/shared/hexledger/x-")
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        session.shared_dir(_Session("yarn", None))
-    local = _Session("local[2]", None)
-    assert session.shared_dir(local) == session.shared_dir(local)
+    assert session.scratch_path(_Session("local[2]", "/shared"), "x").startswith("/shared/hexledger/app-local[2]/x-")
+    unset = _Session("yarn", None)
+    unset.conf.get = lambda key, default=None: "hdfs://house" if key == "spark.sql.warehouse.dir" else default
+    assert session.shared_dir(unset) == "hdfs://house"
 
 
 def test_materialize_survives_a_second_read(spark):
