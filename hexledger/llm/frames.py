@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Arrow batches handed to a Python worker; bounds its memory together with text_arrays.SLICE_BYTES.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 # A side of a join is broadcast only after it was counted to have at most this many narrow rows.
 NARROW_ROWS = 1_000_000
@@ -15,7 +15,7 @@ NARROW_ROWS = 1_000_000
 def bound_batches(spark: SparkSession) -> None:
     """Keep Arrow batches small, so that long documents do not add up to a worker's memory."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
 
 
 def counted(small: DataFrame, rows: int, bound: int = NARROW_ROWS) -> DataFrame:

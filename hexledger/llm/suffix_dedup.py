@@ -36,14 +36,14 @@ from hexledger.session import materialize, scratch_path
 
 WIDTH = 50
 TRIGGER = 24
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 # Text whose triggers one task compares.
-BUCKET_BYTES = 1 << 25
+BUCKET_BYTES = 1 << 23
 # A trigger in so many chunks is dealt on by whole strings.
 HEAVY_CHUNKS = 256
 
 _REACH = WIDTH - TRIGGER + 1  # triggers that a string can have
-_SEGMENT = 1 << 21
+_SEGMENT = 1 << 18
 _PLACE = np.uint64((1 << 22) - 1)
 _PACKED = "chunk long, orders array<long>, hashes array<long>, cuts array<long>, data binary"
 
@@ -302,7 +302,7 @@ def _smallest_documents(table: pa.Table) -> pa.Table:
     content = np.repeat(np.arange(len(every)), count)
     offset = np.arange(len(content)) - np.repeat(np.cumsum(count) - count, count)
     start = texts.offsets[:-1][content] + offset
-    hashes = texts.window_hash(texts.prefix(), WIDTH)[start]
+    hashes = _string_hashes(texts, start)
     order = np.argsort(hashes, kind="stable")
     group = _groups(texts.data, start, hashes, order)
     edges = np.flatnonzero(group)
@@ -337,6 +337,17 @@ def _smallest_documents(table: pa.Table) -> pa.Table:
     )
 
 
+def _string_hashes(texts: Texts, start: np.ndarray) -> np.ndarray:
+    """The hash of the string at each of the ascending starts, part by part."""
+    out = np.empty(len(start), dtype=np.uint64)
+    for first in range(0, len(texts.data), _SEGMENT):
+        a, b = np.searchsorted(start, (first, first + _SEGMENT))
+        if b > a:
+            part = Texts(texts.data[first : first + _SEGMENT + WIDTH], np.zeros(1, dtype=np.int64))
+            out[a:b] = part.window_hash(part.prefix(), WIDTH)[start[a:b] - first]
+    return out
+
+
 def _groups(data: np.ndarray, start: np.ndarray, hashes: np.ndarray, order: np.ndarray) -> np.ndarray:
     """Flags of the first of each group of equal strings in `order`; reorders it if a hash deceived."""
     new = np.ones(len(order), dtype=bool)
@@ -433,7 +444,7 @@ def _corpus(documents: DataFrame) -> tuple[DataFrame, int]:
     order = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
     rows = documents.select(order.alias("order"), F.xxhash64("text").alias("text_hash"), "text")
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    buckets = max(total // (8 * CHUNK_BYTES), 1)
+    buckets = max(total // (16 * CHUNK_BYTES), 1)
     name = f"llm_corpus_{uuid.uuid4().hex}"
     path = scratch_path(spark, "corpus")
     packed = rows.mapInArrow(_pack, _PACKED).repartition(buckets, "chunk")

@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Texts are worked on in slices of about so many bytes, which bounds a task's memory. A longer text is a slice.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
@@ -38,7 +38,7 @@ _POWERS = {"n": 0}
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The multiplier's and its inverse's powers from 0 to n."""
-    if n > 4 * SLICE_BYTES:  # a very long text: made for the occasion
+    if n > 16 * SLICE_BYTES:  # a very long text: made for the occasion
         return _power_row(_MULTIPLIER, n), _power_row(_INVERSE, n)
     if _POWERS["n"] < n:
         size = max(n, SLICE_BYTES)
