@@ -60,12 +60,6 @@ def key_split(df: DataFrame, keys: list[str], train_percent: int = 80) -> tuple[
     return df.filter(share < train_percent), df.filter(share >= train_percent)
 
 
-def random_split(df: DataFrame, train_share: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """(train, test) by Spark's own sampler; depends on the partitioning of `df`."""
-    train, test = df.randomSplit([train_share, 1 - train_share], seed=seed)
-    return train, test
-
-
 def surrogate_key(df: DataFrame, order: list[str], name: str = "transaction_pk") -> DataFrame:
     """0-based consecutive row numbers in the order of `order`, without a single-task window.
 

@@ -27,15 +27,6 @@ def named_places(poi: DataFrame) -> DataFrame:
     )
 
 
-def places_with_tag(poi: DataFrame, key: str = "name") -> DataFrame:
-    """Every place that has the tag at all, with its value."""
-    return (
-        poi.withColumn("place_name", tags.tag_value(F.col("tags"), key))
-        .filter("place_name IS NOT NULL")
-        .select("id", "h3_09", "h3_09_center", "lat", "lon", "place_name")
-    )
-
-
 def run_reports(
     tx: DataFrame, withdrawals: DataFrame, locations: DataFrame, poi: DataFrame, target: str
 ) -> dict[str, str]:

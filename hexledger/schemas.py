@@ -62,6 +62,13 @@ STORAGE_TRIAL = T.StructType(
     ]
 )
 
+BASE_TABLES = {
+    "locations": LOCATIONS,
+    "transactions": TRANSACTIONS,
+    "cash_withdrawals": CASH_WITHDRAWALS,
+    "poi": POI,
+}
+
 # Keys and references that the quality checks assert.
 PRIMARY_KEYS = {
     "locations": ["h3_09"],
@@ -75,7 +82,7 @@ FOREIGN_KEYS = [
     ("poi", "h3_09_center", "locations", "h3_09"),
 ]
 
-# The nine numeric features of the regression models, in the order the stored results use.
+# The nine numeric features of the regression models, in the order the stored results use.
 NUMERIC_FEATURES = [
     "total_transactions",
     "unique_mcc_count",

@@ -6,8 +6,9 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from hexledger import schemas
 from hexledger.operators import aggregates, joins, quality, rows
-from hexledger.plans.ingest import TX_NATURAL_KEY
+from hexledger.plans.ingest import TX_NATURAL_KEY, constraint_violations
 from registry.core import query
 
 CUSTOMER_SQL = """
@@ -178,6 +179,35 @@ def _(t):
     return reduce(lambda a, b: a.unionByName(b), counted)
 
 
+_CONSTRAINTS = (
+    [("locations", "key", "h3_09"), ("transactions", "key", "transaction_pk"),
+     ("cash_withdrawals", "key", "h3_09,customer_id"), ("poi", "key", "id")]
+    + [(n, "reference", c) for n, c, _, _ in schemas.FOREIGN_KEYS]
+    + [(n, "not null", f.name) for n, s in schemas.BASE_TABLES.items() for f in s.fields if not f.nullable]
+)
+_VIEW = {"transactions": "(SELECT *, row_number() OVER () - 1 AS transaction_pk FROM tx)",
+         "cash_withdrawals": "withdrawals"}
+
+
+def _constraint_sql(name, kind, columns):
+    view = _VIEW.get(name, name)
+    listed = ", ".join(f'"{c}"' for c in columns.split(","))
+    rows_sql = {
+        "key": f"(SELECT 1 FROM {view} GROUP BY {listed} HAVING count(*) > 1)",
+        "reference": f"(SELECT DISTINCT {listed} AS v FROM {view} WHERE {listed} NOT IN (SELECT h3_09 FROM locations))",
+        "not null": f"(SELECT 1 FROM {view} WHERE {listed} IS NULL)",
+    }[kind]
+    return f"""SELECT '{name}' AS table_name, '{kind}' AS kind, '{columns}' AS columns, count(*) AS violations
+               FROM {rows_sql} v"""
+
+
+@query("constraint_violations", " UNION ALL ".join(_constraint_sql(*c) for c in _CONSTRAINTS))
+def _(t):
+    numbered = rows.surrogate_key(t.transactions, TX_NATURAL_KEY)
+    tables = {"locations": t.locations, "transactions": numbered, "cash_withdrawals": t.withdrawals, "poi": t.poi}
+    return constraint_violations(tables)
+
+
 @query(
     "not_null_violations",
     """SELECT 'transactions' AS table_name, 'std' AS column_name, count(*) AS null_count FROM tx

@@ -42,6 +42,11 @@ def test_ingest(spark, tables, tmp_path):
     poi = spark.table("ledger_test.poi")
     assert poi.count() == tables.poi.filter("tags IS NOT NULL").count()
     assert poi.filter("h3_09_center IS NULL").count() == 0
+    assert poi.filter("h3_09 <> h3_09_center OR grid_key IS NULL").count() == 0
+    kinds = dict(spark.table("ledger_test.transactions").dtypes)
+    assert kinds["datetime_id"] == kinds["mcc_code"] == "smallint"
+    bad = ingest.constraint_violations(base).filter("violations > 0").collect()
+    assert not bad
     parts = spark.sql("SHOW PARTITIONS ledger_test.transactions").count()
     assert parts == tables.transactions.select("datetime_id", "mcc_code").distinct().count()
 
@@ -96,6 +101,18 @@ def test_grid_points_reach_the_estimator(spark, tables):
     }
 
 
+def test_stored_splits_are_read_again(spark, tables, tmp_path):
+    args = (tables.transactions, tables.withdrawals, tables.locations, tables.places)
+    for plan in (regression, classification):
+        path = str(tmp_path / plan.__name__)
+        first = [sorted(df.drop("features").collect(), key=str) for df in plan.prepared_split(*args, path=path)]
+        gone = [df.limit(0) for df in args]
+        again = [sorted(df.drop("features").collect(), key=str) for df in plan.prepared_split(*gone, path=path)]
+        assert first == again and all(first)
+    few = classification.prepared_split(*args, top_labels=2)
+    assert few[0].unionByName(few[1]).select("h3_09").distinct().count() == 2
+
+
 def test_classification_run(spark, tables, tmp_path, monkeypatch):
     monkeypatch.setitem(models.GRIDS, "logistic", {"regParam": [0.01, 0.1]})
     monkeypatch.setitem(models.GRIDS, "rf_classifier", {"numTrees": [3], "maxDepth": [3]})

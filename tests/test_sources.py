@@ -110,6 +110,27 @@ def test_load_or_build(spark, tmp_path):
     assert len(calls) == 3
 
 
+def test_load_or_build_needs_no_schema(spark, tmp_path):
+    path, calls = str(tmp_path / "split"), []
+
+    def build():
+        calls.append(1)
+        return spark.createDataFrame([(1, None)], "a short, b double"), spark.createDataFrame([], "a short, b double")
+
+    for _ in range(2):
+        train, test = prepared.load_or_build(spark, path, build)
+        assert train.dtypes == [("a", "smallint"), ("b", "double")] and (train.count(), test.count()) == (1, 0)
+    assert len(calls) == 1
+
+
+def test_only_a_missing_codec_is_a_failed_row(spark, tmp_path):
+    broken = spark.range(3).selectExpr("raise_error('no such luck') AS x")
+    with pytest.raises(Exception, match="no such luck"):
+        writers.storage_trial({"t": broken}, str(tmp_path / "trial"))
+    empty = writers.storage_trial({"t": spark.range(0)}, str(tmp_path / "empty"), codecs=("Gzip",)).first()
+    assert empty["status"] == "OK" and empty["size_mb"] > 0
+
+
 def test_catalog_steps(spark, tmp_path):
     catalog.recreate_database(spark, "steps", str(tmp_path / "steps"))
     spark.range(9).write.saveAsTable("steps.numbers")
