@@ -5,9 +5,10 @@ a bucket. Candidate pairs are compared signature batch by signature batch and dr
 posterior probability that their similarity reaches the threshold is under `MISS`; survivors are verified on
 their full shingle sets. Links build connected components.
 
-No bucket is expanded into all its pairs. First each node is compared with one pivot of each of its buckets,
-so a bucket of near copies costs a row a member. Only buckets that still hold several components afterwards
-are searched in whole, and only for pairs across components; large ones in blocks over many tasks.
+No bucket is expanded into all its pairs. First each node is compared with one pivot of each of its buckets
+and verified against the likeliest, so a bucket of near copies costs a row a member. Only buckets that still
+hold several components afterwards are searched, in blocks over many tasks. A block looks at pairs across
+components, each in the first band its nodes share, and returns only links that join two components.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hexledger.llm.frames import bound_batches, counted, same
@@ -30,8 +31,9 @@ BANDS, ROWS = 24, 5
 # Hashes compared at a time, and the chance at which a candidate is given up.
 BATCH = 24
 MISS = 1e-6
-# Members of a bucket that one task compares with one another; larger buckets are cut into such blocks.
-BLOCK = 2048
+# Members of a bucket, and their shingles, that a block has; larger buckets are cut into such blocks.
+BLOCK = 512
+BLOCK_SHINGLES = 500_000
 # Members that are verified against one copy of a pivot's text.
 MEMBERS = 256
 BROADCAST_NODES = 200_000
@@ -105,18 +107,24 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _keys(signatures: np.ndarray) -> np.ndarray:
+    """(documents, bands) of bucket names."""
+    wide = signatures.astype(np.uint64)
+    keys = np.empty((len(wide), BANDS), dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for band in range(BANDS):
+            key = np.full(len(wide), band + 1, dtype=np.uint64)
+            for k in range(ROWS):
+                key = mix(key * np.uint64(0x9E3779B97F4A7C15) + wide[:, band * ROWS + k])
+            keys[:, band] = key
+    return signed(keys)
+
+
 def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        signatures = _matrix(batch.column("signature")).astype(np.uint64)
-        keys = np.empty((len(signatures), BANDS), dtype=np.uint64)
-        with np.errstate(over="ignore"):
-            for band in range(BANDS):
-                key = np.full(len(signatures), band + 1, dtype=np.uint64)
-                for k in range(ROWS):
-                    key = mix(key * np.uint64(0x9E3779B97F4A7C15) + signatures[:, band * ROWS + k])
-                keys[:, band] = key
-        nodes = np.repeat(batch.column("node").to_numpy(), BANDS)
-        yield pa.RecordBatch.from_arrays([pa.array(signed(keys.ravel())), pa.array(nodes)], names=["key", "node"])
+        keys = _keys(_matrix(batch.column("signature")))
+        own = [np.repeat(batch.column(c).to_numpy(), BANDS) for c in ("node", "n_shingles")]
+        yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), *map(pa.array, own)], names=["key", "node", "n_shingles"])
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -168,28 +176,47 @@ def _prune_pairs(least: list[int]):
     return run
 
 
-def _search_block(least: list[int]):
-    """Pairs across components of the two blocks of one bucket that stay."""
+def _search_block(least: list[int], percent: int):
+    """Links that join components, between the two blocks of one bucket (or inside one)."""
 
     def run(table: pa.Table) -> pa.Table:
-        low, high = table["low"][0].as_py(), table["high"][0].as_py()
+        low, high, key = (table[c][0].as_py() for c in ("low", "high", "key"))
         table = table.sort_by("node")
-        block = table["block"].to_numpy()
-        node, label = table["node"].to_numpy(), table["label"].to_numpy()
+        block, node, label = (table[c].to_numpy() for c in ("block", "node", "label"))
         signature = _matrix(table["signature"].combine_chunks())
-        xs, ys, ms = [], [], []
+        band = int(np.flatnonzero(_keys(signature[:1])[0] == key)[0])
+        sets, sizes = [], []
+        for batch in table.select(["text"]).to_batches():
+            for _, texts in slices(batch):
+                for found, into in zip(shingle_sets(texts), (sets, sizes), strict=True):
+                    into.append(found)
+        sizes = np.concatenate(sizes)
+        _, shingle = np.unique(np.concatenate(sets), return_inverse=True)
+        ends = np.cumsum(sizes)
+        mark = np.zeros(shingle.max(initial=0) + 1, dtype=bool)
+        _, home = np.unique(label, return_inverse=True)
+        xs, ys = [], []
         right = np.flatnonzero(block == high)
         for i in np.flatnonzero(block == low):
-            others = right[label[right] != label[i]]
+            others = right[home[right] != home[i]]
             if low == high:
                 others = others[others > i]
+            # A pair is looked at in the first band that its nodes share.
+            earlier = signature[others, : band * ROWS] == signature[i, : band * ROWS]
+            others = others[~earlier.reshape(len(others), band, ROWS).all(axis=2).any(axis=1)]
             alive, matches = _survivors(signature[i], signature[others], least)
-            xs.append(np.full(len(alive), node[i]))
-            ys.append(node[others[alive]])
-            ms.append(matches)
-        join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64)
-        x, y = join(xs), join(ys)
-        return pa.table({"x": pa.array(np.maximum(x, y)), "y": pa.array(np.minimum(x, y)), "matches": pa.array(join(ms))})
+            own = shingle[ends[i] - sizes[i] : ends[i]]
+            mark[own] = True
+            for j in others[alive[np.argsort(-matches, kind="stable")]]:
+                if home[j] == home[i]:
+                    continue
+                shared = int(mark[shingle[ends[j] - sizes[j] : ends[j]]].sum())
+                if 100 * shared >= percent * (sizes[i] + sizes[j] - shared):
+                    xs.append(node[i])
+                    ys.append(node[j])
+                    home[home == home[j]] = home[i]
+            mark[own] = False
+        return pa.table({"x": pa.array(xs, pa.int64()), "y": pa.array(ys, pa.int64())})
 
     return run
 
@@ -259,29 +286,13 @@ def verify(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFr
     return ordered.select("x", "y", "text").mapInArrow(run, "x long, y long")
 
 
-def _resolve(pairs: DataFrame, labels: DataFrame, texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Verify pairs across components, the likeliest of each x first, until none is left.
-
-    Returns the labels and the pairs that were verified.
-    """
-    tested, batch = None, 1
-    while True:
-        across = _labelled(_labelled(pairs, "x", labels, "lx"), "y", labels, "ly").where("lx <> ly")
-        rank = F.row_number().over(Window.partitionBy("x").orderBy(F.desc("matches"), "y"))
-        open_ = materialize(across.withColumn("turn", rank), "open-pairs")
-        if open_.isEmpty():
-            return labels, tested if tested is not None else pairs.limit(0)
-        chosen = open_.where(F.col("turn") <= batch)
-        links = materialize(verify(chosen.select("x", "y"), texts, percent), "links")
-        edges = _labelled(_labelled(links, "x", labels, "a"), "y", labels, "b").select("a", "b")
-        merged = components(edges)
-        moved = _labelled(labels.withColumnRenamed("label", "old"), "old", merged, "label").select("node", "label")
-        fresh = merged.join(labels.select("node"), "node", "left_anti")
-        labels = materialize(moved.unionByName(fresh), "labels")
-        now = chosen.select("x", "y")
-        tested = now if tested is None else tested.unionByName(now)
-        pairs = open_.where(F.col("turn") > batch).select("x", "y", "matches")
-        batch *= 8
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels after the (x, y) `links` have joined components."""
+    edges = _labelled(_labelled(links, "x", labels, "a"), "y", labels, "b").select("a", "b")
+    merged = components(edges)
+    moved = _labelled(labels.withColumnRenamed("label", "old"), "old", merged, "label").select("node", "label")
+    fresh = merged.join(labels.select("node"), "node", "left_anti")
+    return materialize(moved.unionByName(fresh), "labels")
 
 
 def components_of(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -306,38 +317,51 @@ def components_of(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     nodes = materialize(
         features.where("n_shingles > 0")
         .groupBy("node")
-        .agg(F.min("doc_id").alias("first_doc"), F.min("signature").alias("signature")),
+        .agg(
+            F.min("doc_id").alias("first_doc"),
+            F.min("n_shingles").alias("n_shingles"),
+            F.min("signature").alias("signature"),
+        ),
         "nodes",
     )
-    bands = materialize(nodes.select("node", "signature").mapInArrow(_band_keys, "key long, node long"), "bands")
-    buckets = bands.groupBy("key").agg(F.count("*").alias("members"), F.min("node").alias("pivot")).where("members > 1")
-    members = materialize(bands.join(buckets, "key"), "members")
+    bands = materialize(
+        nodes.select("node", "n_shingles", "signature").mapInArrow(_band_keys, "key long, node long, n_shingles long"),
+        "bands",
+    )
+    buckets = (
+        bands.groupBy("key")
+        .agg(
+            F.count("*").alias("members"), F.sum("n_shingles").alias("shingles"), F.min("node").alias("pivot")
+        )
+        .where("members > 1")
+    )
+    buckets = materialize(buckets, "buckets")
+    members = materialize(bands.select("key", "node").join(buckets, "key"), "members")
 
-    in_buckets = materialize(members.select("node").distinct().join(nodes, "node"), "bucket-nodes")
+    in_buckets = members.select("node").distinct().join(nodes, "node")
     texts = materialize(_texts_of(documents, in_buckets), "bucket-texts")
-    signature = in_buckets.select("node", "signature")
+    signature = texts.select("node", "signature")
     star = members.where("node <> pivot").select(F.col("node").alias("x"), F.col("pivot").alias("y")).distinct()
     star = star.join(signature.toDF("x", "sx"), "x").join(signature.toDF("y", "sy"), "y")
-    pruned = materialize(star.mapInArrow(_prune_pairs(least), "x long, y long, matches long"), "star-pairs")
-    none = spark.createDataFrame([], "node long, label long")
-    labels, tested = _resolve(pruned, none, texts, percent)
+    pruned = star.mapInArrow(_prune_pairs(least), "x long, y long, matches long")
+    likeliest = pruned.groupBy("x").agg(F.max(F.struct("matches", "y")).alias("best")).select("x", "best.y")
+    likeliest = materialize(likeliest, "star-pairs")
+    links = materialize(verify(likeliest, texts, percent), "star-links")
+    labels = _merged(spark.createDataFrame([], "node long, label long"), links)
 
-    placed = _labelled(members.select("key", "node", "members"), "node", labels, "label")
+    placed = materialize(_labelled(members, "node", labels, "label"), "placed")
     mixed = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-    blocks = (F.col("members") / BLOCK).cast("int") + 1
+    blocks = F.greatest(F.col("members") / BLOCK, F.col("shingles") / BLOCK_SHINGLES).cast("int") + 1
+    block = F.pmod(F.xxhash64("node"), blocks).cast("int")
     searched = (
         placed.join(mixed.select("key"), "key")
-        .withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select("key", "node", "label", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-        .join(signature, "node")
+        .select("key", "node", "label", block.alias("block"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+        .withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+        .join(texts, "node")
         .groupBy("key", "low", "high")
-        .applyInArrow(_search_block(least), "x long, y long, matches long")
-        .distinct()
+        .applyInArrow(_search_block(least, percent), "x long, y long")
     )
-    done = tested.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y"))
-    rest = materialize(searched.join(done, ["x", "y"], "left_anti"), "cross-pairs")
-    labels, _ = _resolve(rest, labels, texts, percent)
+    labels = _merged(labels, materialize(searched, "cross-links"))
 
     labelled = _labelled(nodes.select("node", "first_doc"), "node", labels, "label")
     smallest = labelled.groupBy("label").agg(F.min("first_doc").alias("component_id"))
@@ -357,7 +381,7 @@ def _id_field(documents: DataFrame) -> str:
 
 
 def _texts_of(documents: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, text): one text of each node. Rows that share the id but not the set are told apart by the set."""
+    """(node, signature, text): one text of each node. Rows that share the id but not the set are told apart by the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -365,11 +389,11 @@ def _texts_of(documents: DataFrame, nodes: DataFrame) -> DataFrame:
                 own = signed(_node_ids(*shingle_sets(texts))) == part["node"].to_numpy()
                 yield part.filter(pa.array(own))
 
-    wanted = nodes.select("node", F.col("first_doc").alias("wanted"))
+    wanted = materialize(nodes.select("node", "signature", F.col("first_doc").alias("wanted")), "bucket-nodes")
     joined = documents.select("doc_id", "text").join(
         counted(wanted, wanted.count(), BROADCAST_NODES), same(F.col("doc_id"), F.col("wanted"))
     )
-    found = joined.select("node", "text").mapInArrow(run, "node long, text string")
+    found = joined.select("node", "signature", "text").mapInArrow(run, "node long, signature binary, text string")
     return found.dropDuplicates(["node"])
 
 
