@@ -29,7 +29,7 @@ LEAF_BYTES = 64
 # Documents with an unsplit run of more bytes have its leaves encoded by several tasks.
 SPREAD_BYTES = 1 << 16
 # Runs that a worker remembers; it forgets all when there are more.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 
 WORD_END = "</w>"
 
@@ -156,8 +156,8 @@ class Codec:
     def __init__(self, state: dict) -> None:
         if "merges" not in state:
             spec = json.loads(state["json"])
-            state.update(spec=spec, merges=Merges(spec), known={})
-            state["added"] = [t["content"] for t in spec["added_tokens"]]
+            state.update(merges=Merges(spec), known={}, plain_tokens=spec["decoder"] is None)
+            state["added"] = {t["content"]: t["id"] for t in spec["added_tokens"]}
             state["pattern"], state["unusual"] = _plain_pattern()
         self.state = state
         self.merges = state["merges"]
@@ -190,10 +190,10 @@ class Codec:
         if len(known) + len(new) > REMEMBERED:
             known.clear()
             new = runs
-        for t in self.state["spec"]["added_tokens"]:
-            if t["content"] in new:
-                known[t["content"]] = np.array([t["id"]], dtype="<u4").tobytes()
-                new.discard(t["content"])
+        for content, number in self.state["added"].items():
+            if content in new:
+                known[content] = np.array([number], dtype="<u4").tobytes()
+                new.discard(content)
         short, long = [], []
         for run in new:
             (short if len(run) <= LEAF_BYTES // 4 or len(run.encode()) <= LEAF_BYTES else long).append(run)
@@ -355,7 +355,7 @@ def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(state.value)
-        if codec.state["spec"]["decoder"] is not None:
+        if not codec.state["plain_tokens"]:
             raise ValueError("only tokenizers without a decoder, whose text is their tokens, are known here")
         names = codec.merges.names
         for batch in batches:
