@@ -28,6 +28,8 @@ MIN_REVISIT_BYTES = 0
 # A file of a task is closed, and the next one begun, at this size.
 FILE_BYTES = 256 << 20
 SPLIT_BYTES = 8 << 20
+# Tasks that share the ranges at most.
+MOST_TASKS = 10_000
 # Groups of equal payloads, (digest, smallest page), that are broadcast when there are at most so many.
 BROADCAST_GROUPS = 200_000
 
@@ -158,11 +160,12 @@ def write(pages: DataFrame, folder: str | None = None, min_bytes: int = MIN_REVI
 
 def splits(files: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """(path, first, after): the byte ranges of (path, bytes), spread over tasks."""
+    ranges = files.agg(F.coalesce(F.sum(F.ceil(F.col("bytes") / split_bytes)), F.lit(0))).first()[0]
     return (
         files.where("bytes > 0")
         .selectExpr("path", "bytes", f"explode(sequence(0L, bytes - 1, {split_bytes}L)) AS first")
         .selectExpr("path", "first", f"least(first + {split_bytes}L, bytes) AS after")
-        .repartition("path", "first")
+        .repartition(min(max(int(ranges), 1), MOST_TASKS))  # a stated number: the rows are few, their work is not
     )
 
 
