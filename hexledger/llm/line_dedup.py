@@ -129,8 +129,9 @@ def later_copies(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         .where("rows > 1")
         .drop("rows")
     )
+    # Written, so that the join below deals both sides anew and a frequent run can be split over tasks.
     return (
-        stored.join(origin, interval)
+        stored.join(materialize(origin, "origins"), interval)
         .where(~same(F.struct(*_DOC, "line"), F.col("origin")))
         .select(*_DOC, "line", "length")
     )
