@@ -14,14 +14,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hexledger.llm.frames import counted
 from hexledger.session import materialize
 
 # Characters of context at most; n-grams have one more.
 ORDER = 4
-# An n-gram is kept if it makes up at least 1 / MAX_GRAMS of all positions (and occurs MIN_COUNT times), so at
-# most MAX_GRAMS n-grams of each length are kept and sent to the executors, whatever the corpus.
-MAX_GRAMS = 1 << 15
+# An n-gram is kept if it occurs so often, whatever the corpus: the models grow with the ruled URLs.
 MIN_COUNT = 4
+# The kept n-grams of a length are broadcast up to this many; more are joined by shuffling.
+MAX_GRAMS = 1 << 15
 # Weight of the next shorter context, in occurrences.
 SMOOTHING = 2.0
 ALPHABET = 256
@@ -104,8 +105,6 @@ def language_models(ruled: DataFrame) -> DataFrame:
         ),
         "url-grams",
     )
-    total = counts.agg(F.coalesce(F.sum(F.col("a") + F.col("r")), F.lit(0))).first()[0]
-    least = max(MIN_COUNT, -(-total // MAX_GRAMS))
     # The counts of all lengths follow from those of the longest n-grams.
     lengths = F.explode(F.sequence(F.lit(1), F.lit(ORDER + 1)))
     grams = (
@@ -117,7 +116,7 @@ def language_models(ruled: DataFrame) -> DataFrame:
     )
     contexts = grams.groupBy("context", "k").agg(F.sum("a").alias("all_a"), F.sum("r").alias("all_r"))
     kept = materialize(
-        grams.where(F.col("a") + F.col("r") >= least).join(contexts, ["context", "k"]), "url-kept"
+        grams.where(F.col("a") + F.col("r") >= MIN_COUNT).join(contexts, ["context", "k"]), "url-kept"
     )
     # An n-gram's probability is built up from its shorter endings, which are all at least as frequent.
     endings = kept.select(F.col("gram").alias("whole"), F.explode(F.sequence(F.lit(1), F.col("k"))).alias("j"))
@@ -143,14 +142,26 @@ def scores(urls: DataFrame, model: DataFrame) -> DataFrame:
     Each position takes the longest n-gram that the model has; one it knows nothing of gains 0.
     """
     rows = _positions(urls.select("u").distinct())
+    length = F.char_length("gram").alias("k")
+    sizes = {r["k"]: r["count"] for r in model.groupBy(length).count().collect()}
+    if max(sizes.values(), default=0) > MAX_GRAMS:
+        # Different n-grams are looked up once, so that positions are shuffled once and not for each length.
+        rows = rows.join(_gains(rows.select("gram").distinct(), model, sizes), "gram")
+    else:
+        rows = _gains(rows, model, sizes)
+    return rows.groupBy("u").agg(F.round(F.sum("gain") / F.count("*"), DIGITS).alias("score"))
+
+
+def _gains(rows: DataFrame, model: DataFrame, sizes: dict[int, int]) -> DataFrame:
+    """`rows` with gain, that of the longest ending of `gram` in the model; `sizes` are its n-grams by length."""
     gains = []
     for k in range(ORDER + 1, 0, -1):
-        # The model has at most (ORDER + 1) * MAX_GRAMS rows.
-        named = F.broadcast(model.select(F.col("gram").alias(f"gram{k}"), F.col("gain").alias(f"gain{k}")))
-        rows = rows.withColumn(f"gram{k}", F.expr(f"right(gram, {k})")).join(named, f"gram{k}", "left")
+        named = model.where(F.char_length("gram") == k)
+        named = named.select(F.col("gram").alias(f"gram{k}"), F.col("gain").alias(f"gain{k}"))
+        rows = rows.withColumn(f"gram{k}", F.expr(f"right(gram, {k})"))
+        rows = rows.join(counted(named, sizes.get(k, 0), MAX_GRAMS), f"gram{k}", "left")
         gains.append(f"gain{k}")
-    gain = F.coalesce(*gains, F.lit(0.0))
-    return rows.groupBy("u").agg(F.round(F.sum(gain) / F.count("*"), DIGITS).alias("score"))
+    return rows.withColumn("gain", F.coalesce(*gains, F.lit(0.0))).drop(*gains, *(f"gram{k}" for k in range(1, ORDER + 2)))
 
 
 def calibrate(scored: DataFrame) -> float:

@@ -157,6 +157,22 @@ def test_urls_are_judged(spark):
     assert [r.verdict for r in unruled] == ["allow"]
 
 
+def test_url_models_grow_with_the_ruled_urls(spark, monkeypatch):
+    ruled = [("http://a.example.org/x", "allow", 10_000_000), ("http://a.example.com/de/zqzq", "block", 4)]
+    known = spark.createDataFrame(ruled, "u string, ruled string, rows long")
+    model = url_filter.language_models(known).cache()
+    gain = {r.gram: r.gain for r in model.collect()}
+    wanted = set()  # every n-gram of both occurs at least MIN_COUNT times
+    for u, _, _ in ruled:
+        s = "\x02" * 4 + u + "\x03"
+        wanted |= {s[at + 1 - k : at + 1] for at in range(4, len(s)) for k in range(1, 6)}
+    assert set(gain) == wanted and gain["/zqzq"] < 0
+    urls = spark.createDataFrame([(u,) for u, _, _ in ruled] + [("http://zqzq",), ("",)], "u string")
+    sent = {r.u: r.score for r in url_filter.scores(urls, model).collect()}
+    monkeypatch.setattr(url_filter, "MAX_GRAMS", 20)  # longer n-grams are joined by shuffling
+    assert {r.u: r.score for r in url_filter.scores(urls, model).collect()} == sent
+
+
 # Pipeline
 
 
