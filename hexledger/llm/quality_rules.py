@@ -1,11 +1,12 @@
-"""Quality rules: base counts, and a likelihood ratio of hashed n-grams.
+"""Quality rules: base counts, and a likelihood ratio of byte n-grams.
 
-Two multinomials over hashed grams of `GRAM_BYTES` bytes are counted over whole corpora: one over the trusted
+Two multinomials over all different grams of `GRAM_BYTES` bytes are counted over whole corpora: one over the trusted
 target documents, one over all documents. A document's score is the mean over its grams of
 log(target probability / raw probability); documents under a fixed threshold are rejected. Junk is rare in
 the target and common in the raw corpus, so its grams score far below zero, while clean text stays close to it.
 Byte grams, unlike grams of words, are dense even in a small target, so a clean document does not fail for
-words that the target happens to lack.
+words that the target happens to lack. The counts are a table of as many rows as there are different grams; its
+ratios are broadcast up to a counted size, beyond it they are joined to the grams of each document.
 """
 
 from __future__ import annotations
@@ -14,17 +15,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hexledger.llm.frames import bound_batches, counted
 from hexledger.llm.text_arrays import WHITE, Texts, mix, slices, word_ngrams
 from hexledger.session import materialize
 
-# The tables of counts and of log ratios have this many cells, whatever the corpus.
-BUCKET_BITS = 16
-# Added to every count, as a share of the mean count of a cell.
+# The log ratios are broadcast up to this many different grams (12 bytes each); more are joined by shuffling.
+BROADCAST_GRAMS = 1 << 22
+# A task hands its counts on when it holds this many rows of them.
+PENDING_GRAMS = 1 << 19
+# Added to every count, as a share of the mean count of a gram.
 SMOOTHING = 1.0
+# A gram is an int.
 GRAM_BYTES = 4
 # Mean log ratio under which a document is rejected.
 THRESHOLD = -0.35
@@ -35,39 +39,60 @@ _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 
 
-def _grams(texts: Texts, prefix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of all grams of the documents, and how many each document has."""
-    starts = np.arange(max(len(texts.data) - GRAM_BYTES + 1, 0))
+def _grams(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+    """All grams of the documents, and how many each document has."""
+    n = max(len(texts.data) - GRAM_BYTES + 1, 0)
     whole = np.zeros(len(texts.data), dtype=bool)
-    whole[: len(starts)] = True
+    whole[:n] = True
     for k in range(1, GRAM_BYTES):  # grams that would reach into the next document
         ends = texts.offsets[1:] - k
         whole[ends[(ends >= texts.offsets[:-1]) & (ends >= 0)]] = False
-    if not len(starts):
-        return starts, texts.per_document(whole)
-    buckets = (texts.window_hash(prefix, GRAM_BYTES) >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)
-    return buckets[whole[: len(buckets)]], texts.per_document(whole)
+    grams = np.zeros(n, dtype=np.uint32)
+    for k in range(GRAM_BYTES):
+        grams <<= np.uint32(8)
+        grams |= texts.data[k : n + k]
+    return grams[whole[:n]], texts.per_document(whole)
+
+
+def _added_up(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.concatenate((np.ones(min(len(keys), 1), dtype=bool), keys[1:] != keys[:-1])))
+    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    raw, target = np.zeros(1 << BUCKET_BITS, dtype=np.int64), np.zeros(1 << BUCKET_BITS, dtype=np.int64)
+    def rows(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        grams = (keys >> np.uint64(1)).astype(np.uint32).view(np.int32)
+        target = np.where(keys & np.uint64(1), counts, 0)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(grams), pa.array(counts), pa.array(target)], names=["gram", "raw", "target"]
+        )
+
+    pending, held = [], 0
     for batch in batches:
         for part, texts in slices(batch):
-            buckets, grams = _grams(texts, texts.prefix())
-            trusted = part.column("trusted").to_numpy(zero_copy_only=False).astype(bool)
-            raw += np.bincount(buckets, minlength=len(raw))
-            target += np.bincount(buckets[np.repeat(trusted, grams)], minlength=len(raw))
-    used = np.flatnonzero(raw)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(used), pa.array(raw[used]), pa.array(target[used])], names=["bucket", "raw", "target"]
-    )
+            grams, n = _grams(texts)
+            trusted = part.column("trusted").to_numpy(zero_copy_only=False).astype(np.uint64)
+            # Grams of trusted and of other documents are counted apart.
+            keys = grams.astype(np.uint64) << np.uint64(1) | np.repeat(trusted, n)
+            pending.append(np.unique(keys, return_counts=True))
+            held += len(pending[-1][0])
+            if held > PENDING_GRAMS:
+                pending = [_added_up(*map(np.concatenate, zip(*pending, strict=True)))]
+                held = len(pending[0][0])
+                if held > PENDING_GRAMS // 2:
+                    yield rows(*pending[0])
+                    pending, held = [], 0
+    if pending:
+        yield rows(*_added_up(*map(np.concatenate, zip(*pending, strict=True))))
 
 
 def gram_counts(documents: DataFrame, trusted_ids: DataFrame) -> DataFrame:
-    """(bucket, raw, target): how often the grams of each bucket occur in all and in trusted documents.
+    """(gram, raw, target): how often each gram occurs in all and in trusted documents.
 
     `trusted_ids` has one column doc_id; repeated and null ids count once and not at all. Each task adds up
-    whole tables of counts and emits one row a bucket, so a frequent gram is no hot key.
+    many texts before it emits a gram's count, so a frequent gram is no hot key.
     """
     bound_batches(documents.sparkSession)
     ids = materialize(trusted_ids.select("doc_id").where("doc_id IS NOT NULL").distinct(), "trusted-ids")
@@ -76,35 +101,54 @@ def gram_counts(documents: DataFrame, trusted_ids: DataFrame) -> DataFrame:
     )
     return (
         flagged.select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
-        .mapInArrow(_count_grams, "bucket long, raw long, target long")
-        .groupBy("bucket")
+        .mapInArrow(_count_grams, "gram int, raw long, target long")
+        .groupBy("gram")
         .agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
     )
 
 
-def log_ratios(counts: DataFrame) -> np.ndarray:
-    """log(target probability / raw probability) by bucket; at most 2**BUCKET_BITS rows come to the driver.
+def gram_ratios(counts: DataFrame) -> DataFrame:
+    """(gram, ratio): log(target probability / raw probability).
 
-    Without any trusted text all ratios are 0: nothing is known, so nothing is rejected.
+    Without any trusted text there are no rows: nothing is known, so nothing is rejected.
     """
-    table = counts.toPandas()
-    raw, target = np.zeros(1 << BUCKET_BITS), np.zeros(1 << BUCKET_BITS)
-    raw[table["bucket"].to_numpy(dtype=np.int64)] = table["raw"].to_numpy(dtype=float)
-    target[table["bucket"].to_numpy(dtype=np.int64)] = table["target"].to_numpy(dtype=float)
-    if not target.sum():
-        return np.zeros(1 << BUCKET_BITS)
-    # The same share of pseudo-counts, spread as the raw corpus is, so that an empty bucket scores 0.
-    prior = (raw + 1) / (raw + 1).sum()
-    weight = SMOOTHING * len(raw)
-    p = (target + weight * prior) / (target.sum() + weight)
-    q = (raw + weight * prior) / (raw.sum() + weight)
-    return np.log(p) - np.log(q)
+    totals = counts.agg(F.count("*").alias("n"), F.sum("raw").alias("raw"), F.sum("target").alias("target")).first()
+    if not totals["target"]:
+        return counts.where("false").select("gram", F.lit(0.0).alias("ratio"))
+    # The same share of pseudo-counts, spread as the raw corpus is.
+    weight = SMOOTHING * totals["n"]
+    prior = (F.col("raw") + 1) / F.lit(float(totals["raw"] + totals["n"]))
+
+    def probability(of: str) -> Column:
+        return (F.col(of) + F.lit(weight) * prior) / F.lit(totals[of] + weight)
+
+    return counts.select("gram", (F.log(probability("target")) - F.log(probability("raw"))).alias("ratio"))
+
+
+def _to_driver(ratios: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    table = ratios.toArrow()
+    grams = table.column("gram").to_numpy().astype(np.int32).view(np.uint32)
+    order = np.argsort(grams)
+    return grams[order], table.column("ratio").to_numpy()[order]
+
+
+def log_ratios(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The grams of `gram_ratios` in order, and their ratios, for tables of at most `BROADCAST_GRAMS` rows."""
+    return _to_driver(gram_ratios(counts))
+
+
+def _ratios_of(grams: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The ratio of each gram; one that is not in the table has 0."""
+    known, ratios = table
+    if not len(known):
+        return np.zeros(len(grams))
+    at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
+    return np.where(known[at] == grams, ratios[at], 0.0)
 
 
 def _base(texts: Texts) -> dict[str, np.ndarray]:
     n = len(texts)
     prefix = texts.prefix()
-    buckets, grams = _grams(texts, prefix)
     starts, ends = texts.words()
     words, document = texts.segment_hash(prefix, starts, ends), texts.document_of(starts)
     n_words = np.bincount(document, minlength=n)
@@ -135,20 +179,23 @@ def _base(texts: Texts) -> dict[str, np.ndarray]:
         "n_symbols": texts.per_document(_SYMBOL[texts.data]),
         "n_dup_lines": np.bincount(line_document[again], minlength=n),
         "n_repeat_words": np.bincount(document[repeated], minlength=n),
-        "buckets": buckets,
-        "grams": grams,
     }
 
 
-def judge(documents: DataFrame, ratios: np.ndarray, threshold: float = THRESHOLD) -> DataFrame:
+def judge(
+    documents: DataFrame, ratios: tuple[np.ndarray, np.ndarray] | DataFrame, threshold: float = THRESHOLD
+) -> DataFrame:
     """`documents` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, llr, kept.
 
-    One row per row of `documents`, repeated or not. A null text has no words; a text without words fails the
-    base rules and has llr 0. Columns of the input that clash with the new names are replaced.
+    `ratios` is what `log_ratios` gives, or the table of `gram_ratios`, which is then joined. One row per row of
+    `documents`, repeated or not. A null text has no words; a text without words fails the base rules and has
+    llr 0. Columns of the input that clash with the new names are replaced.
     """
+    if isinstance(ratios, DataFrame):
+        return _judge_by_join(documents, ratios, threshold)
     spark = documents.sparkSession
     bound_batches(spark)
-    table = spark.sparkContext.broadcast(ratios.astype(np.float64))
+    table = spark.sparkContext.broadcast(ratios)
     new = {
         "n_words": "long", "word_chars": "long", "n_symbols": "long", "n_dup_lines": "long",
         "n_repeat_words": "long", "base_failed": "boolean", "llr": "double", "kept": "boolean",
@@ -160,10 +207,10 @@ def judge(documents: DataFrame, ratios: np.ndarray, threshold: float = THRESHOLD
         for batch in batches:
             for part, texts in slices(batch):
                 base = _base(texts)
-                grams = base["grams"]
-                owner = np.repeat(np.arange(len(texts)), grams)
-                sums = np.bincount(owner, weights=table.value[base["buckets"]], minlength=len(texts))
-                llr = np.where(grams > 0, sums / np.maximum(grams, 1), 0.0)
+                grams, n = _grams(texts)
+                owner = np.repeat(np.arange(len(texts)), n)
+                sums = np.bincount(owner, weights=_ratios_of(grams, table.value), minlength=len(texts))
+                llr = np.where(n > 0, sums / np.maximum(n, 1), 0.0)
                 failed = (base["n_words"] < MIN_WORDS) | (
                     100 * base["n_repeat_words"] > MAX_REPEAT_PERCENT * base["n_words"]
                 )
@@ -175,9 +222,44 @@ def judge(documents: DataFrame, ratios: np.ndarray, threshold: float = THRESHOLD
     return rest.mapInArrow(run, ", ".join([*kept_fields, *(f"{k} {v}" for k, v in new.items())]))
 
 
+def _text_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part, texts in slices(batch):
+            grams, n = _grams(texts)
+            owner = np.repeat(np.arange(len(texts), dtype=np.uint64), n)
+            keys, counts = np.unique(owner << np.uint64(32) | grams, return_counts=True)
+            texts_of = part.column("_text_key").take(pa.array((keys >> np.uint64(32)).astype(np.int64)))
+            grams = pa.array(keys.astype(np.uint32).view(np.int32))
+            yield pa.RecordBatch.from_arrays([texts_of, grams, pa.array(counts)], names=["_text_key", "gram", "n"])
+
+
+def _judge_by_join(documents: DataFrame, ratios: DataFrame, threshold: float) -> DataFrame:
+    """The same with a table of any size: a row per text and different gram meets the gram's ratio."""
+    key = F.expr("substr(unhex(sha2(coalesce(text, ''), 256)), 1, 16)")
+    nothing = np.zeros(0, dtype=np.uint32), np.zeros(0)
+    based = judge(documents, nothing, threshold)
+    # Rows of equal texts have the same grams, so that repeats do not change the mean.
+    llrs = (
+        documents.select("text", key.alias("_text_key"))
+        .mapInArrow(_text_grams, "_text_key binary, gram int, n long")
+        .join(ratios, "gram", "left")
+        .groupBy("_text_key")
+        .agg((F.sum(F.col("n") * F.coalesce("ratio", F.lit(0.0))) / F.sum("n")).alias("_llr"))
+    )
+    joined = based.withColumn("_text_key", key).join(llrs, "_text_key", "left")
+    return (
+        joined.withColumn("llr", F.coalesce("_llr", F.lit(0.0)))
+        .withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))
+        .select(*(f"`{c}`" for c in based.columns))
+    )
+
+
 def quality_rules(documents: DataFrame, trusted_ids: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Count both multinomials over `documents`, then judge every document by them."""
-    return judge(documents, log_ratios(gram_counts(documents, trusted_ids)), threshold)
+    counts = materialize(gram_counts(documents, trusted_ids), "gram-counts")
+    ratios = gram_ratios(counts)
+    small = ratios.count() <= BROADCAST_GRAMS
+    return judge(documents, _to_driver(ratios) if small else ratios, threshold)
 
 
 def trusted(labels: DataFrame) -> DataFrame:

@@ -94,6 +94,40 @@ def test_junk_is_rejected_and_clean_text_kept(spark):
     assert {r.doc_id for r in rows if r.kept} == {k for k, _ in clean}
 
 
+@pytest.mark.parametrize("vocabulary", [5_000, 110_000])
+def test_junk_is_rejected_however_many_grams_the_corpus_has(spark, vocabulary):
+    import numpy as np
+
+    dice = np.random.default_rng(7)
+    # Words of four characters of three bytes; each is used eight times. At the larger size 788,420 different grams.
+    words = ["".join(map(chr, w)) for w in dice.integers(0x4E00, 0x9FA5, (vocabulary, 4))]
+    used = [words[k] for _ in range(8) for k in dice.permutation(vocabulary)]
+    clean = [(k, " ".join(used[k * 400 : k * 400 + 400])) for k in range(len(used) // 400)]
+    junk = [
+        (10_000 + k, " ".join("".join(map(chr, w)) for w in dice.integers(0x21, 0x7F, (150, 6)))) for k in range(10)
+    ]
+    trusted = spark.createDataFrame([(k,) for k, _ in clean[::2]], "doc_id long")
+    rows = documents(spark, clean + junk)
+    if vocabulary > 100_000:
+        assert quality_rules.gram_counts(rows, trusted).count() == 788_420
+    kept = {r.doc_id for r in quality_rules.quality_rules(rows, trusted).where("kept").select("doc_id").collect()}
+    assert kept == {k for k, _ in clean}
+
+
+def test_joined_ratios_score_as_broadcast_ones(spark, docs, monkeypatch):
+    trusted = spark.createDataFrame([(1,), (9,), (16,)], "doc_id long")
+
+    def rows():
+        found = quality_rules.quality_rules(docs, trusted).drop("score").collect()
+        return sorted((str(r.doc_id), str(r.text), r.n_words, r.base_failed, r.kept, round(r.llr, 9)) for r in found)
+
+    sent = rows()
+    assert len(sent) == len(texts()) and any(r[-1] for r in sent)
+    monkeypatch.setattr(quality_rules, "BROADCAST_GRAMS", 10)
+    monkeypatch.setattr(quality_rules, "PENDING_GRAMS", 10)
+    assert rows() == sent
+
+
 # Quality classifier
 
 
