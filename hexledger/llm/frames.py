@@ -27,5 +27,13 @@ def same(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)
 
 
+def fresh(name: str, *frames: DataFrame) -> str:
+    """`name`, lengthened until no column of the frames is called so."""
+    taken = {c.lower() for frame in frames for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

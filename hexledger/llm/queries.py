@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hexledger.llm import bpe, decontamination, line_dedup, near_dedup, quality_classifier, quality_rules, sharding, suffix_dedup, url_filter, warc
+from hexledger.llm import (
+    bpe,
+    decontamination,
+    hard_negatives,
+    line_dedup,
+    near_dedup,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    suffix_dedup,
+    token_counts,
+    url_filter,
+    warc,
+    whitening,
+)
 from hexledger.llm.frames import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -241,6 +255,58 @@ FROM p JOIN firsts USING (h)
 """
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(documents, public_tokenizers.path("word_bpe_49k.json")).drop("text")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    fitted = whitening.fit(vectors)
+    rows = whitening.whiten(vectors, fitted).select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    explained = F.array(*map(F.lit, fitted.explained.tolist())) if fitted else F.array(F.lit(0.0))
+    return rows.select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        F.lit(fitted.n if fitted else 0).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        explained[F.col("at")].alias("explained"),
+        F.lit(fitted.identity_error if fitted else 0.0).alias("identity_error"),
+    )
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", moved.cast("long").alias("label"), "embedding")
+    return hard_negatives.mine(vectors)
+
+
+# All scores of anchors with all rows; sums of products below 2**53 are exact in doubles.
+OP13_SQL = """
+WITH e AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)
+), scores AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS alike,
+        list_inner_product(a.v, b.v)::BIGINT AS score
+    FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score FROM scores WHERE alike
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)::INT AS rank,
+    id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT alike AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -259,9 +325,19 @@ def queries() -> dict[str, Query]:
         "op8_line_dedup": op8_line_dedup,
         "op9_url_filter": op9_url_filter,
         "op10_warc": op10_warc,
+        "op11_token_counts": op11_token_counts,
+        "op12_whitening": op12_whitening,
+        "op13_hard_negatives": op13_hard_negatives,
         "pipeline": pipeline,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": OP1_SQL, "op7_near_dedup": OP7_SQL, "op8_line_dedup": OP8_SQL, "op9_url_filter": OP9_SQL, "op10_warc": OP10_SQL}
+    return {
+        "op1_decontamination": OP1_SQL,
+        "op7_near_dedup": OP7_SQL,
+        "op8_line_dedup": OP8_SQL,
+        "op9_url_filter": OP9_SQL,
+        "op10_warc": OP10_SQL,
+        "op13_hard_negatives": OP13_SQL,
+    }
