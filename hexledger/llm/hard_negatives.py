@@ -6,18 +6,19 @@ smallest and greatest values of the remaining columns bound what every candidate
 candidates that can no longer enter a list are struck from the bitmap. Survivors end with exact scores.
 
 The first search finds each anchor's positives, and with them its windows of scores; the second finds the best
-different-label rows inside each window. Anchors are dealt into passes of a bounded size, which are broadcast to
-the blocks: no row is shuffled or copied per anchor. A task keeps the lists of the anchors of its pass over all
+different-label rows inside each window. Anchors are dealt into passes of a bounded size, which are broadcast one
+after the other: no row is shuffled or copied per anchor. A task keeps the lists of the anchors of its pass over all
 its blocks, and only these lists are merged.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -109,17 +110,17 @@ class Block:
         won = np.append(np.cumsum(np.maximum(*gains)[::-1])[::-1], 0)
         values = entries.astype(columns.dtype)[order]
         at = np.flatnonzero(alive)
-        partial = np.zeros(len(at), dtype=columns.dtype)
+        sums = np.zeros(len(at), dtype=columns.dtype)
         step, done = max(len(order) // 8, 1), 0
         while done < len(order) and len(at):
             upto = len(order) if len(order) - done < 2 * step else done + (4 * step if not done else step)
             read = columns[order[done:upto]]
-            partial += values[done:upto] @ (read if len(at) == read.shape[1] else read[:, at])
+            sums += values[done:upto] @ (read if len(at) == read.shape[1] else read[:, at])
             done = upto
-            keep = strike(partial, int(lost[done]), int(won[done]))
+            keep = strike(sums, int(lost[done]), int(won[done]))
             if np.count_nonzero(keep) < 0.9 * len(at):
-                at, partial = at[keep], partial[keep]
-        return at, partial.astype(np.int64)
+                at, sums = at[keep], sums[keep]
+        return at, sums.astype(np.int64)
 
 
 class Best:
@@ -208,33 +209,29 @@ def _search(blocks: DataFrame, anchors: DataFrame, passes: int, length: int, tas
     spark = blocks.sparkSession
     schema = "block string, place int, nth int, score long, id long"
     windowed = "windows" in anchors.columns
-    path = scratch_path(spark, name)
-    fields = [*anchors.columns]
+    path, fields = scratch_path(spark, name), [*anchors.columns]
 
-    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def look(batches: Iterator[pa.RecordBatch], sent: Broadcast) -> Iterator[pa.RecordBatch]:
         given = best = None
+        each = POSITIVES if windowed else 1
         for batch in batches:
-            for at, row in enumerate(batch.drop_columns(["anchors"]).to_pylist()):
-                if given is None:  # the anchors of a pass are the same in all rows
-                    given = batch.column("anchors")[at].as_py()
-                    for anchor in given:
-                        anchor["entries"] = np.frombuffer(anchor["entries"], dtype=np.int32).astype(np.int64)
-                        if windowed:
-                            anchor["windows"] = np.array(anchor["windows"], dtype=np.int64).reshape(-1, 2)
-                    each = POSITIVES if windowed else 1
+            for row in batch.to_pylist():
+                if given is None:
+                    unpack = lambda packed: np.frombuffer(packed, dtype=np.int32).astype(np.int64)
+                    given = [a | {"entries": unpack(a["entries"])} for a in sent.value]
                     best = Best(len(given) * each, NEGATIVES if windowed else POSITIVES)
                 block = Block(row, length)
                 for k, anchor in enumerate(given):
                     entries, label = anchor["entries"], anchor["label"]
                     if windowed:
-                        find_negatives(block, entries, label, anchor["windows"], best, k * POSITIVES)
+                        windows = np.array(anchor["windows"], dtype=np.int64).reshape(-1, 2)
+                        find_negatives(block, entries, label, windows, best, k * each)
                     else:
                         own = anchor["place"] if anchor["block"] == block.name else None
                         find_positives(block, entries, label, own, best, k)
         if given is None:
             return
         lists, places = np.nonzero(best.scores != _NONE)
-        each = POSITIVES if windowed else 1
         for start in range(0, len(lists), 50_000):
             some = lists[start : start + 50_000]
             where = some, places[start : start + 50_000]
@@ -248,12 +245,14 @@ def _search(blocks: DataFrame, anchors: DataFrame, passes: int, length: int, tas
             yield pa.RecordBatch.from_arrays(columns, ["block", "place", "nth", "score", "id"])
 
     dealt = anchors.withColumn("pass", F.pmod(F.xxhash64("block", "place"), F.lit(passes)).cast("int"))
-    packed = materialize(dealt.groupBy("pass").agg(F.collect_list(F.struct(*fields)).alias("anchors")), f"{name}-passes")
+    dealt = materialize(dealt, f"{name}-passes")
+    spread = blocks.repartition(tasks)
     for number in range(passes):
-        # Bounded by PASS_ANCHORS and PASS_BYTES: broadcast.
-        small = F.broadcast(packed.where(F.col("pass") == number))
-        rows = blocks.repartition(tasks).withColumn("pass", F.lit(number)).join(small, "pass").drop("pass")
-        rows.mapInArrow(look, schema).write.mode("append").parquet(path)
+        # One pass at a time, bounded by PASS_ANCHORS and PASS_BYTES.
+        anchors_of_pass = dealt.where(F.col("pass") == number).select(*fields).collect()
+        sent = spark.sparkContext.broadcast([row.asDict() for row in anchors_of_pass])
+        spread.mapInArrow(partial(look, sent=sent), schema).write.mode("append").parquet(path)
+        sent.destroy()
     return spark.read.schema(schema).parquet(path)
 
 
@@ -298,7 +297,8 @@ def mine(vectors: DataFrame, column: str = "embedding") -> DataFrame:
     )
     # The least and greatest whole scores inside: 30 * p <= 100 * s <= 90 * p, by whole-number division.
     low, high = F.col("positive_score") * LOW_PERCENT, F.col("positive_score") * HIGH_PERCENT
-    whole = [F.call_function("div", x, F.lit(100)) for x in (low + F.pmod(-low, F.lit(100)), high - F.pmod(high, F.lit(100)))]
+    ends = low + F.pmod(-low, F.lit(100)), high - F.pmod(high, F.lit(100))
+    whole = [F.call_function("div", x, F.lit(100)) for x in ends]
     window = F.struct("nth", F.array(*whole).alias("ends"))
     windows = positives.groupBy(*keys).agg(
         F.flatten(F.transform(F.sort_array(F.collect_list(window)), lambda w: w["ends"])).alias("windows")

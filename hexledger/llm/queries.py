@@ -265,7 +265,8 @@ def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     fitted = whitening.fit(vectors)
-    rows = whitening.whiten(vectors, fitted).select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    rows = whitening.whiten(vectors, fitted)
+    rows = rows.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
     explained = F.array(*map(F.lit, fitted.explained.tolist())) if fitted else F.array(F.lit(0.0))
     return rows.select(
         "vec_id",
