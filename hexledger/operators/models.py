@@ -5,20 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import partial
-from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+from pyspark import SparkContext
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     LogisticRegression,
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import Evaluator, MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.evaluation import Evaluator, RegressionEvaluator
+from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.regression import (
     DecisionTreeRegressor,
+    GBTRegressionModel,
     GBTRegressor,
     LinearRegression,
     RandomForestRegressor,
@@ -26,11 +27,12 @@ from pyspark.ml.regression import (
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.util import inheritable_thread_target
 
 from hexledger.functions import values
-from hexledger.operators import metrics
+from hexledger.operators import metrics, search
 from hexledger.operators.features import CLASSIFICATION_FEATURES, feature_names
+from hexledger.operators.indexers import TableIndexer
+from hexledger.session import materialize, scratch_path
 
 SEED = 42
 FOLDS = 3
@@ -92,10 +94,10 @@ def cross_validate(
     folds: int = FOLDS,
     parallelism: int = 1,
 ) -> CrossValidatorModel:
-    """k-fold grid search; a `fold` column of `train` decides the folds if there is one.
+    """k-fold grid search by Spark's validator; a `fold` column of `train` decides the folds if there is one.
 
-    One grid point at a time by default: the validator's threads share one set of local properties,
-    and now and then one of them fails for it. Every fit is a distributed job either way.
+    One grid point at a time by default: the validator's threads share one set of local properties, and
+    now and then one of them fails for it. `search` has parallel fits and can be resumed.
     """
     validator = CrossValidator(
         estimator=estimator,
@@ -122,6 +124,44 @@ def search_report(model: CrossValidatorModel, grid: list, spark: SparkSession) -
     return spark.createDataFrame(rows, "settings string, avg_metric double")
 
 
+def gbt_prefix(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
+    """The first `rounds` trees of a boosted model: what a fit of so many rounds would have given."""
+    sc = SparkContext._active_spark_context
+    kind = sc._jvm.org.apache.spark.ml.regression
+    trees, weights = list(model._java_obj.trees())[:rounds], list(model.treeWeights)[:rounds]
+    held = sc._gateway.new_array(kind.DecisionTreeRegressionModel, len(trees))
+    weighed = sc._gateway.new_array(sc._gateway.jvm.double, len(trees))
+    for i, (tree, weight) in enumerate(zip(trees, weights, strict=True)):
+        held[i], weighed[i] = tree, weight
+    short = GBTRegressionModel(kind.GBTRegressionModel(f"{model.uid}_{rounds}", held, weighed))
+    return short.setFeaturesCol(model.getFeaturesCol()).setPredictionCol(model.getPredictionCol())
+
+
+def measure_regression(
+    kind: str, coord: str, settings: dict, points: list[search.Point], train: DataFrame, test: DataFrame
+) -> list[float]:
+    """The root mean squared error of each point; shorter boosted fits are the first trees of the longest."""
+    model = regressor(kind, coord, "predicted", **{**settings, **points[-1]}).fit(train)
+    evaluator = RegressionEvaluator(labelCol=coord, predictionCol="predicted", metricName="rmse")
+    fits = [gbt_prefix(model, p["maxIter"]) for p in points[:-1]] + [model]
+    return [evaluator.evaluate(fit.transform(test)) for fit in fits]
+
+
+def regression_search(
+    train: DataFrame, kind: str, grid: dict[str, list], path: str, **settings
+) -> tuple[DataFrame, dict[str, search.Point]]:
+    """All grid points on all folds for both coordinates, side by side, and the best point of each."""
+    points = search.grid_points(grid)
+    groups = search.by_prefix(points) if kind == "gbt" and "maxIter" in grid else search.one_each(points)
+    units = [
+        search.Unit(coord, tuple(g), partial(measure_regression, kind, coord, settings))
+        for coord in ("lon", "lat")
+        for g in groups
+    ]
+    results = search.search(train, units, path)
+    return results, search.best_points(results, units, larger_is_better=False)
+
+
 @dataclass(frozen=True)
 class CoordinateModels:
     """The two fitted models of a kind, their scored test rows and their test metrics."""
@@ -139,27 +179,28 @@ def train_coordinates(
     kind: str,
     folds: int | None = FOLDS,
     grid: dict[str, list] | None = None,
+    search_path: str | None = None,
     **settings,
 ) -> CoordinateModels:
     """Fit longitude and latitude, each with its own estimator, grid and evaluator.
 
-    `folds=None` skips cross-validation. Both models score one frame, so no join pairs their
-    predictions. The metrics carry the error of the constant predictor next to the model's.
+    Every grid point is measured on all folds first (`regression_search`); `folds=None` skips that and takes
+    the settings as they are. Both models score one frame, so no join pairs their predictions. The metrics
+    carry the error of the constant predictor next to the model's.
     """
+    chosen: dict[str, dict] = {"lon": {}, "lat": {}}
+    if folds is not None:
+        if "fold" not in train.columns:
+            train = with_folds(train, [c for c in train.columns if c in ("customer_id", "h3_09")], folds)
+        path = search_path or scratch_path(train.sparkSession, f"search-{kind}")
+        chosen = regression_search(train, kind, grid or {}, path, **settings)[1]
 
     def fit(coord: str) -> Model:
-        estimator = regressor(kind, coord, f"predicted_{coord}", **settings)
-        if folds is None:
-            return estimator.fit(train)
-        evaluator = RegressionEvaluator(labelCol=coord, predictionCol=f"predicted_{coord}", metricName="mae")
-        return cross_validate(estimator, param_grid(estimator, grid or {}), evaluator, train, folds).bestModel
-
-    # The two fits are independent; side by side they fill the gaps between each other's short jobs.
-    # Each is wrapped on its own: threads that share one set of local properties disturb each other.
-    session = train.sparkSession
-    tasks = {coord: inheritable_thread_target(session)(partial(fit, coord)) for coord in ("lon", "lat")}
-    with ThreadPool(len(tasks)) as pool:
-        fitted = dict(zip(tasks, pool.map(lambda task: task(), tasks.values())))
+        return regressor(kind, coord, f"predicted_{coord}", **{**settings, **chosen[coord]}).fit(whole)
+
+    whole = search.sized(train)
+    coords = ("lon", "lat")
+    fitted = dict(zip(coords, search.in_threads(train.sparkSession, [partial(fit, c) for c in coords]), strict=True))
     scored = fitted["lat"].transform(fitted["lon"].transform(test))
     return CoordinateModels(kind, fitted["lon"], fitted["lat"], scored, coordinate_metrics(train, scored, kind))
 
@@ -193,14 +234,11 @@ def coordinate_metrics(train: DataFrame, scored: DataFrame, kind: str) -> DataFr
 
 def classifier_stages(mcc: str = "mcc_code", label: str = "h3_09", tags: str | None = "tags_key") -> list:
     """Indexers and assembler in front of a classifier; the label is the cell id."""
-    stages = [
-        StringIndexer(inputCol=mcc, outputCol="mcc_index", handleInvalid="keep"),
-        StringIndexer(inputCol=label, outputCol="label", handleInvalid="keep"),
-    ]
+    stages = [TableIndexer(inputCol=mcc, outputCol="mcc_index"), TableIndexer(inputCol=label, outputCol="label")]
     columns = [*CLASSIFICATION_FEATURES, "mcc_index"]
     if tags:
         # As a plain number: a tree would need as many bins as there are different tag texts.
-        stages.append(StringIndexer(inputCol=tags, outputCol="tags_index", handleInvalid="keep"))
+        stages.append(TableIndexer(inputCol=tags, outputCol="tags_index"))
         stages.append(SQLTransformer(statement="SELECT *, tags_index + 0 AS tags_number FROM __THIS__"))
         columns.append("tags_number")
     return [*stages, VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="skip")]
@@ -227,12 +265,58 @@ def train_classifier(stages: list, estimator: Estimator, train: DataFrame) -> Pi
     return Pipeline(stages=[*stages, estimator]).fit(train)
 
 
-def tune_classifier(
-    stages: list, estimator: Estimator, grid: dict[str, list], train: DataFrame, folds: int = FOLDS
-) -> CrossValidatorModel:
-    """Grid search by weighted F1 over the whole pipeline."""
-    evaluator = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName="f1")
-    return cross_validate(Pipeline(stages=[*stages, estimator]), param_grid(estimator, grid), evaluator, train, folds)
+def measure_classifier(
+    make: Callable[..., Estimator], points: list[search.Point], train: DataFrame, test: DataFrame
+) -> list[float]:
+    """The F1 weighted by support of each point, summed on the executors."""
+    scored = [make(**p).fit(train).transform(test) for p in points]
+    return [metrics.classification_report(df).first()["weighted_f1"] or 0.0 for df in scored]
+
+
+def classifier_search(
+    stages: list, makers: dict[str, Callable[..., Estimator]], grids: dict[str, dict[str, list]], train: DataFrame, path: str
+) -> tuple[DataFrame, dict[str, search.Point]]:
+    """All grids on all folds by weighted F1, and the best point of each; rows are indexed once per fold."""
+    units = [
+        search.Unit(name, tuple(g), partial(measure_classifier, make))
+        for name, make in makers.items()
+        for g in search.one_each(search.grid_points(grids[name]))
+    ]
+
+    def indexed(fitted_on: DataFrame, measured_on: DataFrame) -> tuple[DataFrame, DataFrame]:
+        before = Pipeline(stages=stages).fit(fitted_on)
+        # Written once with its metadata: the fits read the assembled rows, not the joins.
+        return tuple(stored_vectors(before.transform(df)) for df in (fitted_on, measured_on))
+
+    results = search.search(train, units, path, indexed)
+    return results, search.best_points(results, units, larger_is_better=True)
+
+
+def stored_vectors(df: DataFrame) -> DataFrame:
+    """(label, features), written; column metadata, which says how many classes there are, stays with them."""
+    rows = df.select("label", "features")
+    about = {f.name: f.metadata for f in rows.schema.fields}
+    stored = materialize(rows, "vectors")
+    return stored.select(*[F.col(c).alias(c, metadata=about[c]) for c in stored.columns])
+
+
+def tune_classifiers(
+    stages: list,
+    makers: dict[str, Callable[..., Estimator]],
+    grids: dict[str, dict[str, list]],
+    train: DataFrame,
+    path: str | None = None,
+) -> tuple[DataFrame, dict[str, PipelineModel]]:
+    """The report of the search, and each classifier fitted on all rows with its best point."""
+    results, best = classifier_search(
+        stages, makers, grids, train, path or scratch_path(train.sparkSession, "search-classifiers")
+    )
+    before = Pipeline(stages=stages).fit(train)
+    vectors = search.sized(stored_vectors(before.transform(train)))
+    fits = [partial(lambda make, point: make(**point).fit(vectors), make, best[name]) for name, make in makers.items()]
+    fitted = search.in_threads(train.sparkSession, fits)
+    whole = {n: PipelineModel(stages=[*before.stages, m]) for n, m in zip(makers, fitted, strict=True)}
+    return search.report(results), whole
 
 
 def model_parameters(model: Model, names: list[str], model_type: str, coord_type: str, spark: SparkSession) -> DataFrame:

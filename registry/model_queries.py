@@ -5,13 +5,13 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from hexledger.operators import aggregates, features, models, rows
+from hexledger.operators import features, models, rows, search
 from hexledger.plans import classification, regression
-from hexledger.session import scratch_path
+from hexledger.session import materialize, scratch_path
 from registry.bindings import Tables
 from registry.core import query
 from registry.join_queries import CUSTOMER_CELL_SQL, CUSTOMER_SQL, rounded_std
@@ -178,30 +178,52 @@ def _(t):
     )
 
 
+# A fit whose predictions must average to the labels' mean over the rows it was fitted on: a free intercept, or
+# leaves that are means (the first boosted tree predicts them, the others fit what is left, which sums to 0).
+_MEAN_KEEPING = ("linear", "decision_tree", "gbt")
+_POSITION_ROWS = "SELECT customer_id, h3_09, lat, lon FROM withdrawals JOIN locations USING (h3_09)"
+
+
 def _train_sql(kind):
-    """The row counts and the error of the constant prediction; the model's error must not be far above it."""
+    """The error of the constant prediction, and what the fitted predictions must average to."""
+    mean = "round(avg({c}) FILTER (in_train), 6)" if kind in _MEAN_KEEPING else "CAST(NULL AS double)"
     parts = " UNION ALL ".join(
         f"""SELECT '{kind}' AS model, '{c}' AS coord, count(*) FILTER (in_train) AS n_train,
                    count(*) FILTER (NOT in_train) AS n_test,
                    round(avg(abs({c} - (SELECT avg({c}) FROM s WHERE in_train))) FILTER (NOT in_train), 6)
-                       AS baseline_mae, true AS mae_is_near_or_below FROM s"""
+                       AS baseline_mae, {mean.format(c=c)} AS mean_fitted, true AS fits_as_mean,
+                   true AS mae_is_near_or_below FROM s"""
         for c in ("lon", "lat")
     )
-    rows_sql = "SELECT customer_id, h3_09, lat, lon FROM withdrawals JOIN locations USING (h3_09)"
-    return f"WITH s AS ({_SPLIT_SQL.format(rows=rows_sql)}) {parts}"
+    return f"WITH s AS ({_SPLIT_SQL.format(rows=_POSITION_ROWS)}) {parts}"
 
 
 def _train(kind):
     def run(t):
         train, test = regression_split(t)
-        found = models.train_coordinates(train, test, kind).metrics
-        sizes = train.agg(F.count("*").alias("n_train")).crossJoin(test.agg(F.count("*").alias("n_test")))
-        return found.crossJoin(sizes).select(
+        fitted = models.train_coordinates(train, test, kind)
+        on_train = fitted.lat.transform(fitted.lon.transform(train))
+        checks = [
+            F.struct(
+                F.lit(c).alias("coord"),
+                F.round(F.avg(f"predicted_{c}"), 6).alias("mean_fitted"),
+                # No worse, if a penalty leaves nothing but the mean.
+                (F.avg(F.pow(F.col(f"predicted_{c}") - F.col(c), 2)) <= F.var_pop(c) * (1 + 1e-9)).alias("fits_as_mean"),
+                F.count("*").alias("n_train"),
+            )
+            for c in ("lon", "lat")
+        ]
+        held = on_train.agg(F.array(*checks).alias("c")).select(F.inline("c"))
+        scored = test.agg(F.count("*").alias("n_test")).scalar()
+        mean = F.col("mean_fitted") if kind in _MEAN_KEEPING else F.lit(None).cast("double")
+        return fitted.metrics.join(held, "coord").select(
             "model",
             "coord",
             "n_train",
-            "n_test",
+            scored.alias("n_test"),
             F.round("baseline_mae", 6).alias("baseline_mae"),
+            mean.alias("mean_fitted"),
+            "fits_as_mean",
             (F.col("mae") <= 1.25 * F.col("baseline_mae")).alias("mae_is_near_or_below"),
         )
 
@@ -217,21 +239,64 @@ for _kind, _name in (
     query(_name, _train_sql(_kind))(_train(_kind))
 
 
-@query(
-    "cross_validate",
-    """SELECT coord, 'elasticNetParam=' || e || ', regParam=' || r AS settings, true AS measured
-       FROM (VALUES ('lon'), ('lat')) c(coord), (VALUES ('0.0'), ('0.5'), ('1.0')) e(e), (VALUES ('0.01'), ('0.1')) r(r)""",
-)
+def _fold_sql(*keys):
+    """The fold of a row: the md5 of its key, as in with_folds."""
+    text = ", ".join(f"CAST({k} AS varchar)" for k in keys)
+    return f"CAST('0x' || substr(md5(concat_ws('|', 'fold', {text})), 1, 8) AS bigint) % 100 % {models.FOLDS}"
+
+
+# The error of the mean of the other folds' rows: what a penalty beyond all bounds must come to.
+_CONSTANT_SQL = f"""
+    SELECT {{c}} AS y, fold, (SELECT avg({{c}}) FROM f o WHERE o.fold <> f.fold) AS mean FROM f"""
+_FOLDS_SQL = f"""
+    WITH s AS ({_SPLIT_SQL.format(rows=_POSITION_ROWS)}),
+    f AS (SELECT *, {_fold_sql("customer_id", "h3_09")} AS fold FROM s WHERE in_train)"""
+_OVERWHELMING = {"elasticNetParam": 1.0, "regParam": 1e6}
+
+
+def _search_sql(grid, constant):
+    """Every grid point of both coordinates over all folds; the constant point with its exact mean error."""
+    names = ", ".join(f"('{search.named(p)}')" for p in search.grid_points(grid))
+    parts = [
+        f"""SELECT coord, settings, {models.FOLDS} AS folds, CAST(NULL AS double) AS avg_rmse, true AS measured
+            FROM (VALUES ('lon'), ('lat')) c(coord), (VALUES {names}) n(settings)"""
+    ]
+    if constant:
+        parts += [
+            f"""SELECT '{c}' AS coord, '{search.named(constant)}' AS settings, {models.FOLDS} AS folds,
+                       round(avg(rmse), 6) AS avg_rmse, true AS measured
+                FROM (SELECT fold, sqrt(avg((y - mean) * (y - mean))) AS rmse
+                      FROM ({_CONSTANT_SQL.format(c=c)}) GROUP BY fold)"""
+            for c in ("lon", "lat")
+        ]
+    return _FOLDS_SQL + " UNION ALL ".join(parts)
+
+
+def _searched(results, constant=None):
+    error = F.when(F.col("settings") == (search.named(constant) if constant else ""), F.round("avg_metric", 6))
+    return search.report(results).select(
+        F.col("target").alias("coord"),
+        "settings",
+        "folds",
+        error.alias("avg_rmse"),
+        (F.col("avg_metric") > 0).alias("measured"),
+    )
+
+
+@query("cross_validate", _search_sql(models.GRIDS["linear"], _OVERWHELMING))
 def _(t):
     train, _ = regression_split(t)
-    reports = []
-    for coord in ("lon", "lat"):
-        estimator = models.regressor("linear", coord)
-        grid = models.param_grid(estimator, models.GRIDS["linear"])
-        evaluator = RegressionEvaluator(labelCol=coord, predictionCol="prediction", metricName="rmse")
-        report = models.search_report(models.cross_validate(estimator, grid, evaluator, train), grid, t.spark)
-        reports.append(report.select(F.lit(coord).alias("coord"), "settings", (F.col("avg_metric") > 0).alias("measured")))
-    return reports[0].unionByName(reports[1])
+    path = scratch_path(t.spark, "search")
+    models.regression_search(train, "linear", models.GRIDS["linear"], path)
+    overwhelming = {k: [v] for k, v in _OVERWHELMING.items()}
+    # The second search finds the first one's results under the same path and adds its own.
+    return _searched(models.regression_search(train, "linear", overwhelming, path)[0], _OVERWHELMING)
+
+
+@query("search_gbt", _search_sql(models.GRIDS["gbt"], None))
+def _(t):
+    train, _ = regression_split(t)
+    return _searched(models.regression_search(train, "gbt", models.GRIDS["gbt"], scratch_path(t.spark, "search"))[0])
 
 
 _CLASSIFIED_ROWS_SQL = """
@@ -241,12 +306,21 @@ _CLASSIFIED_ROWS_SQL = """
     FROM tx JOIN withdrawals USING (h3_09, customer_id) JOIN locations USING (h3_09)"""
 
 
-def _scores_sql(*names):
-    return " UNION ALL ".join(
-        f"""SELECT '{n}' AS model, count(*) AS n_scored, true AS is_share
-            FROM ({_CLASSIFIED_ROWS_SQL}) WHERE NOT in_train"""
+def _scores_sql(*names, constant=None):
+    """The rows scored, and for the model that can only name the most frequent training cell how often it is right."""
+    parts = [
+        f"""SELECT '{n}' AS model, count(*) AS n_scored, CAST(NULL AS bigint) AS n_right, true AS is_recounted
+            FROM s WHERE NOT in_train"""
         for n in names
-    )
+    ]
+    if constant:
+        parts.append(
+            f"""SELECT '{constant}' AS model, count(*) AS n_scored,
+                       count(*) FILTER (h3_09 = (SELECT h3_09 FROM s WHERE in_train GROUP BY h3_09
+                                                 ORDER BY count(*) DESC, h3_09 LIMIT 1)) AS n_right,
+                       true AS is_recounted FROM s WHERE NOT in_train"""
+        )
+    return f"WITH s AS ({_CLASSIFIED_ROWS_SQL}) " + " UNION ALL ".join(parts)
 
 
 def _classified(t, estimator):
@@ -254,23 +328,32 @@ def _classified(t, estimator):
     return models.train_classifier(models.classifier_stages(), estimator, train).transform(test)
 
 
-def _scores(t, scored: dict):
-    comparison = models.model_comparison({n: models.accuracy(df) for n, df in scored.items()}, t.spark)
-    sizes = [(n, df.count()) for n, df in scored.items()]
-    counted = t.spark.createDataFrame(sizes, "model string, n_scored long")
-    return comparison.join(counted, "model").select(
-        "model", "n_scored", F.col("accuracy").between(0, 1).alias("is_share")
-    )
+def _scores(t, scored: dict, exact=()):
+    """The accuracy of each model against its right predictions, counted in SQL from the stored scored rows."""
+    rows = []
+    for name, df in scored.items():
+        stored = materialize(df.select("label", "prediction"), "scored")
+        counted = t.spark.sql(
+            "SELECT count(*) AS n, count_if(label = prediction) AS ok FROM {scored}", scored=stored
+        ).first()
+        right = abs(models.accuracy(stored) * counted.n - counted.ok) < 1e-6
+        rows.append((name, counted.n, counted.ok if name in exact else None, right))
+    return t.spark.createDataFrame(rows, "model string, n_scored long, n_right long, is_recounted boolean")
 
 
-@query("train_logistic", _scores_sql("logistic"))
+@query("train_logistic", _scores_sql("logistic", constant="constant"))
 def _(t):
-    return _scores(t, {"logistic": _classified(t, models.logistic())})
+    constant = models.logistic(**_OVERWHELMING)
+    fits = {"logistic": _classified(t, models.logistic()), "constant": _classified(t, constant)}
+    return _scores(t, fits, exact=["constant"])
 
 
-@query("train_rf_classifier", _scores_sql("rf_classifier"))
+@query("train_rf_classifier", _scores_sql("rf_classifier", constant="constant"))
 def _(t):
-    return _scores(t, {"rf_classifier": _classified(t, models.rf_classifier())})
+    # One tree without a split, fitted on all rows as they are.
+    constant = models.rf_classifier(numTrees=1, maxDepth=0, bootstrap=False)
+    fits = {"rf_classifier": _classified(t, models.rf_classifier()), "constant": _classified(t, constant)}
+    return _scores(t, fits, exact=["constant"])
 
 
 @query("train_mlp", _scores_sql("mlp"))
@@ -283,25 +366,44 @@ def _(t):
     return _scores(t, {"mlp": network.fit(train).transform(test)})
 
 
-@query("model_comparison", _scores_sql("Logistic Regression", "Random Forest"))
+def _comparison_sql():
+    """Both published grids over all folds, and the rows that the two best models scored."""
+    parts = [
+        f"""SELECT '{n}' AS model, settings, {models.FOLDS} AS folds, n AS n_scored, true AS is_recounted,
+                   true AS is_share FROM (VALUES {", ".join(f"('{search.named(p)}')" for p in search.grid_points(g))})
+                   v(settings), (SELECT count(*) AS n FROM s WHERE NOT in_train)"""
+        for n, g in classification.GRIDS.items()
+    ]
+    return f"WITH s AS ({_CLASSIFIED_ROWS_SQL}) " + " UNION ALL ".join(parts)
+
+
+@query("model_comparison", _comparison_sql())
 def _(t):
-    scored = {
-        "Logistic Regression": _classified(t, models.logistic()),
-        "Random Forest": _classified(t, models.rf_classifier()),
-    }
-    return _scores(t, scored)
+    train, test = classification_split(t)
+    stages = models.classifier_stages()
+    found, fitted = models.tune_classifiers(stages, classification.MAKERS, classification.GRIDS, train)
+    scores = _scores(t, {name: model.transform(test) for name, model in fitted.items()})
+    share = F.col("avg_metric").between(0, 1)
+    return found.join(scores, F.col("target") == F.col("model")).select(
+        "model", "settings", "folds", "n_scored", "is_recounted", share.alias("is_share")
+    )
 
 
 def _parameters_sql(*kinds):
     names = ", ".join(f"('{n}')" for n in [*(f"tag_feature_{i}" for i in range(25)), *features.NUMERIC_FEATURES])
     kinds_sql = ", ".join(f"('{k}', '{kind}')" for k, kind in kinds)
-    return f"""SELECT feature, kind, model_type, coord_type, true AS is_number FROM (VALUES {names}) f(feature),
+    return f"""SELECT feature, kind, model_type, coord_type, true AS is_number,
+                      CASE WHEN kind = 'importance' THEN 1.0::double END AS total FROM (VALUES {names}) f(feature),
                (VALUES {kinds_sql}) k(model_type, kind), (VALUES ('lon'), ('lat')) c(coord_type)"""
 
 
 def _named(parameters):
     number = F.col("value").isNotNull() & ~F.isnan("value")
-    return parameters.select("feature", "kind", "model_type", "coord_type", number.alias("is_number"))
+    summed = F.round(F.sum("value").over(Window.partitionBy("model_type", "coord_type")), 6)
+    total = F.when(F.col("kind") == "importance", summed)
+    return parameters.select(
+        "feature", "kind", "model_type", "coord_type", number.alias("is_number"), total.alias("total")
+    )
 
 
 @query("model_parameters", _parameters_sql(("decision_tree", "importance")))
@@ -320,23 +422,28 @@ def _(t):
     return _named(t.spark.read.parquet(path))
 
 
+# Under an overwhelming penalty the model is the mean of the training rows, whose error SQL knows.
 @query(
     "save_metrics",
-    """SELECT 'linear' AS model, true AS errors_stored,
-              'elasticNetParam=0.5, maxIter=100, num_folds=3, regParam=0.1, solver=normal' AS settings""",
+    f"""WITH s AS ({_SPLIT_SQL.format(rows=_POSITION_ROWS)}),
+        e AS (SELECT abs(lon - (SELECT avg(lon) FROM s WHERE in_train)) AS lon,
+                     abs(lat - (SELECT avg(lat) FROM s WHERE in_train)) AS lat FROM s WHERE NOT in_train)
+        SELECT 'linear' AS model, round(avg(lon), 6) AS longitude_mae, round(avg(lat), 6) AS latitude_mae,
+               'elasticNetParam=1.0, maxIter=100, num_folds=3, regParam=1000000.0, solver=normal' AS settings FROM e""",
 )
 def _(t):
     train, test = regression_split(t)
     path = scratch_path(t.spark, "metrics")
-    fitted = models.train_coordinates(train, test, "linear")
-    settings = {**models.REGRESSION_SETTINGS["linear"], "num_folds": models.FOLDS}
+    fitted = models.train_coordinates(train, test, "linear", **_OVERWHELMING)
+    settings = {**models.REGRESSION_SETTINGS["linear"], **_OVERWHELMING, "num_folds": models.FOLDS}
     record = models.metrics_record(fitted, settings, t.spark)
     models.save_metrics(record, path)
     stored = t.spark.read.schema(record.schema).json(path)
     entries = F.transform(F.array_sort(F.map_entries("model_params")), lambda e: F.concat_ws("=", e["key"], e["value"]))
     return stored.select(
         "model",
-        ((F.col("longitude_mae") >= 0) & (F.col("latitude_mae") >= 0)).alias("errors_stored"),
+        F.round("longitude_mae", 6).alias("longitude_mae"),
+        F.round("latitude_mae", 6).alias("latitude_mae"),
         F.array_join(entries, ", ").alias("settings"),
     )
 

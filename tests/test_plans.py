@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hexledger.operators import features, models
+from hexledger.operators import features, models, search
 from hexledger.plans import classification, ingest, regression, reports
 from hexledger.sources import readers
 
@@ -113,17 +113,18 @@ def test_stored_splits_are_read_again(spark, tables, tmp_path):
     assert few[0].unionByName(few[1]).select("h3_09").distinct().count() == 2
 
 
-def test_classification_run(spark, tables, tmp_path, monkeypatch):
-    monkeypatch.setitem(models.GRIDS, "logistic", {"regParam": [0.01, 0.1]})
-    monkeypatch.setitem(models.GRIDS, "rf_classifier", {"numTrees": [3], "maxDepth": [3]})
+def test_classification_run(spark, tables, tmp_path):
     train, test = classification.prepared_split(
         tables.transactions, tables.withdrawals, tables.locations, tables.places
     )
     target = str(tmp_path / "classify")
-    comparison = classification.run(spark, train, test, target)
+    # The published grids run in the query model_comparison; here the way of a run, with a stop in between.
+    grids = {"Logistic Regression": {"regParam": [0.1]}, "Random Forest": {"numTrees": [2], "maxDepth": [2, 3]}}
+    comparison = classification.run(spark, train, test, target, grids)
     scores = {r["model"]: r["accuracy"] for r in comparison.collect()}
     assert set(scores) == {"Logistic Regression", "Random Forest"}
     assert all(0 <= s <= 1 for s in scores.values())
+    assert search.stored_results(spark, f"{target}/search").count() == 3 * 3
     model = models.load_pipeline(f"{target}/models/random_forest")
     assert model.transform(test).count() == test.count()
     written = readers.read_csv(
