@@ -96,7 +96,7 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = public_tokenizers.path("word_bpe_49k.json")
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return bpe.decode(bpe.encode(documents, path).drop("text"), path).select(
+    return bpe.encode(documents, path, decoded=True).select(
         "doc_id",
         F.expr("octet_length(ids) div 4").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
@@ -198,7 +198,7 @@ grams AS (
 ), contexts AS (SELECT k, left(gram, k - 1) AS context, sum(a) AS ca, sum(r) AS cr FROM grams GROUP BY ALL),
 kept AS (
     SELECT g.*, ca, cr FROM grams g JOIN contexts c ON g.k = c.k AND left(gram, g.k - 1) = context
-    WHERE a + r >= greatest(4, (SELECT ceil(sum(a + r) / 32768.0) FROM grams WHERE k = 5))
+    WHERE a + r >= 4
 ), p0 AS (SELECT '' AS gram, 1 / 256::DOUBLE AS pa, 1 / 256::DOUBLE AS pr),
 """
     + ",\n".join(
