@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hexledger.llm.frames import counted, same
+from hexledger.llm.frames import counted, fresh, same
 from hexledger.operators.rows import surrogate_key
 from hexledger.session import materialize
 
@@ -159,27 +159,28 @@ def dedup_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     A null text stays null and has no lines; an empty one has one line without words. Lines without words are
     deleted only inside a run. Columns that clash with the new names are replaced.
     """
-    runs = materialize(deleted_runs(documents, min_words), "deleted-runs").withColumnsRenamed(
-        {"doc_id": "_doc", "text_hash": "_hash", "runs": "_runs"}
-    )
     new = ["n_lines", "n_removed", "n_runs"]
     rows = documents.drop(*new)
-    on = same(F.col("doc_id"), F.col("_doc")) & (F.xxhash64("text") == F.col("_hash"))
+    doc, text_hash, gone = (fresh(c, rows) for c in ("_doc", "_hash", "_runs"))
+    runs = materialize(deleted_runs(documents, min_words), "deleted-runs").withColumnsRenamed(
+        {"doc_id": doc, "text_hash": text_hash, "runs": gone}
+    )
+    on = same(F.col("doc_id"), F.col(doc)) & (F.xxhash64("text") == F.col(text_hash))
     joined = rows.join(counted(runs, runs.count(), BROADCAST_DOCUMENTS), on, "left")
     lines = F.split("text", "\n")
     # The stretches between the deleted ones.
     kept = F.zip_with(
-        F.concat(F.array(F.lit(0)), F.transform("_runs", lambda r: r["to"] + 1)),
-        F.concat(F.transform("_runs", lambda r: r["from"]), F.array(F.size(lines))),
+        F.concat(F.array(F.lit(0)), F.transform(gone, lambda r: r["to"] + 1)),
+        F.concat(F.transform(gone, lambda r: r["from"]), F.array(F.size(lines))),
         lambda first, after: F.struct(first.alias("first"), after.alias("after")),
     )
     kept = F.filter(kept, lambda k: k["first"] < k["after"])
     rest = F.array_join(F.flatten(F.transform(kept, lambda k: F.slice(lines, k["first"] + 1, k["after"] - k["first"]))), "\n")
-    removed = F.aggregate("_runs", F.lit(0), lambda n, r: n + r["to"] - r["from"] + 1)
-    text = F.when(F.col("_runs").isNull(), F.col("text")).otherwise(rest)
+    removed = F.aggregate(gone, F.lit(0), lambda n, r: n + r["to"] - r["from"] + 1)
+    text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(rest)
     return joined.select(
         *(text.alias("text") if c == "text" else F.col(c) for c in rows.columns),
         F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).alias("n_lines"),
         F.coalesce(removed, F.lit(0)).alias("n_removed"),
-        F.when(F.col("_runs").isNull(), 0).otherwise(F.size("_runs")).alias("n_runs"),
+        F.when(F.col(gone).isNull(), 0).otherwise(F.size(gone)).alias("n_runs"),
     )

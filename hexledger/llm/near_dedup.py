@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hexledger.llm.frames import bound_batches, counted, same
+from hexledger.llm.frames import bound_batches, counted, fresh, same
 from hexledger.llm.text_arrays import Texts, mix, signed, slices, word_ngrams
 from hexledger.session import materialize
 
@@ -411,17 +411,19 @@ def near_dedup(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
         linked.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "repeats"
     )
 
+    own = fresh("_hash", documents)
+
     def key(left: DataFrame, right: DataFrame):
         on = same(left["doc_id"], right["doc_id"])
-        return on & (left["_hash"] == right["text_hash"])
+        return on & (left[own] == right["text_hash"])
 
-    rows = documents.withColumn("_hash", F.xxhash64("text"))
+    rows = documents.withColumn(own, F.xxhash64("text"))
     gone_side = counted(gone, gone.count(), BROADCAST_NODES)
     rest = rows.join(gone_side, key(rows, gone_side), "left_anti")
     n_repeated = repeated.count()
     if not n_repeated:
-        return rest.drop("_hash")
+        return rest.drop(own)
     side = counted(repeated, n_repeated, BROADCAST_NODES)
     once = rest.join(side, key(rest, side), "left_anti")
-    again = rest.join(side, key(rest, side), "left_semi").dropDuplicates(["doc_id", "_hash"])
-    return once.unionByName(again).drop("_hash")
+    again = rest.join(side, key(rest, side), "left_semi").dropDuplicates(["doc_id", own])
+    return once.unionByName(again).drop(own)

@@ -18,10 +18,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hexledger.llm.frames import bound_batches, counted
+from hexledger.llm.frames import bound_batches, counted, fresh
 from hexledger.llm.text_arrays import WHITE, Texts, mix, slices, word_ngrams
 from hexledger.session import materialize
 
+# A mean ratio is rounded to so many digits, so that the order of a sum decides no verdict.
+DIGITS = 9
 # The log ratios are broadcast up to this many different grams (12 bytes each); more are joined by shuffling.
 BROADCAST_GRAMS = 1 << 22
 # A task hands its counts on when it holds this many rows of them.
@@ -210,7 +212,7 @@ def judge(
                 grams, n = _grams(texts)
                 owner = np.repeat(np.arange(len(texts)), n)
                 sums = np.bincount(owner, weights=_ratios_of(grams, table.value), minlength=len(texts))
-                llr = np.where(n > 0, sums / np.maximum(n, 1), 0.0)
+                llr = np.round(np.where(n > 0, sums / np.maximum(n, 1), 0.0), DIGITS)
                 failed = (base["n_words"] < MIN_WORDS) | (
                     100 * base["n_repeat_words"] > MAX_REPEAT_PERCENT * base["n_words"]
                 )
@@ -246,9 +248,11 @@ def _judge_by_join(documents: DataFrame, ratios: DataFrame, threshold: float) ->
         .groupBy("_text_key")
         .agg((F.sum(F.col("n") * F.coalesce("ratio", F.lit(0.0))) / F.sum("n")).alias("_llr"))
     )
-    joined = based.withColumn("_text_key", key).join(llrs, "_text_key", "left")
+    own_key, own_llr = fresh("_text_key", based), fresh("_llr", based)
+    llrs = llrs.withColumnsRenamed({"_text_key": own_key, "_llr": own_llr})
+    joined = based.withColumn(own_key, key).join(llrs, own_key, "left")
     return (
-        joined.withColumn("llr", F.coalesce("_llr", F.lit(0.0)))
+        joined.withColumn("llr", F.round(F.coalesce(own_llr, F.lit(0.0)), DIGITS))
         .withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))
         .select(*(f"`{c}`" for c in based.columns))
     )

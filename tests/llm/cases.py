@@ -6,7 +6,8 @@ import random
 
 SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, score string, kept int, node string, "
-    "chunk int, rows int, label string, size double, runs int, text_hash string"
+    "chunk int, rows int, label string, size double, runs int, text_hash string, "
+    "key string, _hash long, _runs int, _doc long, _text_key string, _llr double, digest string"
 )
 
 
@@ -58,5 +59,5 @@ def texts() -> list[tuple[int | None, str | None]]:
 
 def documents(spark, rows=None):
     rows = texts() if rows is None else rows
-    extra = ("en", "src", 1, "own", 7, "n", 3, 4, "l", 0.5, 6, "h")
+    extra = ("en", "src", 1, "own", 7, "n", 3, 4, "l", 0.5, 6, "h", "k", 8, 9, 10, "t", 1.5, "d")
     return spark.createDataFrame([(i, t, *extra) for i, t in rows], SCHEMA).repartition(3)

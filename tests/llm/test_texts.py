@@ -356,6 +356,46 @@ def test_spread_runs_equal_the_library(spark, tokenizer, monkeypatch):
         assert bpe.unpack(r.ids) == library.encode(r.text, add_special_tokens=False).ids
 
 
+def test_ids_decoded_in_one_pass_and_all_columns_stay(spark, docs, tokenizer, monkeypatch):
+    path, library = tokenizer
+    monkeypatch.setattr(bpe, "SPREAD_BYTES", 2000)
+    rows = bpe.encode(docs, path, decoded=True).collect()
+    assert len(rows) == len(texts()) and max(len(t or "") for _, t in texts()) > 3000
+    for r in rows:
+        want = library.encode(r.text or "", add_special_tokens=False).ids
+        assert bpe.unpack(r.ids) == want
+        assert r.decoded == library.decode(want, skip_special_tokens=False)
+        assert (r.key, r._hash, r._runs, r._doc, r.digest) == ("k", 8, 9, 10, "d")
+
+
+def test_remembered_runs_are_bounded_by_their_bytes(tokenizer, monkeypatch):
+    path, library = tokenizer
+    monkeypatch.setattr(bpe, "REMEMBERED_BYTES", 500)
+    with open(path, encoding="utf-8") as file:
+        codec = bpe.Codec({"json": file.read()})
+    for k in range(20):
+        text = prose(k, 30)
+        runs = codec.runs(text)
+        known = codec.run_ids(set(runs))
+        assert b"".join(known[r] for r in runs) == bytes(
+            b for i in library.encode(text, add_special_tokens=False).ids for b in i.to_bytes(4, "little")
+        )
+        assert 5 * sum(map(len, known)) <= max(500, 5 * sum(map(len, set(runs))))
+
+
+@pytest.mark.parametrize("bound", [None, 0])
+def test_helper_columns_do_not_touch_those_of_the_input(spark, docs, monkeypatch, bound):
+    """Columns that are called as an operator's own helpers keep their values."""
+    if bound is not None:
+        monkeypatch.setattr(quality_rules, "BROADCAST_GRAMS", bound)
+    trusted = spark.createDataFrame([(1,), (9,), (16,)], "doc_id long")
+    made = [quality_rules.quality_rules(docs, trusted)]
+    made += [line_dedup.dedup_lines(docs), near_dedup.near_dedup(docs)] if bound is None else []
+    for df in made:
+        kept = {tuple(r) for r in df.select("key", "_hash", "_runs", "_doc", "_text_key", "_llr", "digest").collect()}
+        assert kept == {("k", 8, 9, 10, "t", 1.5, "d")}
+
+
 # Near-dedup
 
 
