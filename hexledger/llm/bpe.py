@@ -21,15 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hexledger.llm.frames import bound_batches
+from hexledger.llm.frames import bound_batches, fresh
 from hexledger.llm.text_arrays import mix, slices
 
 # Runs of more bytes are encoded by halves.
 LEAF_BYTES = 64
 # Documents with an unsplit run of more bytes have its leaves encoded by several tasks.
 SPREAD_BYTES = 1 << 16
-# Runs that a worker remembers; it forgets all when there are more.
-REMEMBERED = 100_000
+# Bytes of the runs, and of their ids, that a worker remembers; it forgets all when there are more.
+REMEMBERED_BYTES = 16 << 20
 
 WORD_END = "</w>"
 
@@ -156,7 +156,7 @@ class Codec:
     def __init__(self, state: dict) -> None:
         if "merges" not in state:
             spec = json.loads(state["json"])
-            state.update(merges=Merges(spec), known={}, plain_tokens=spec["decoder"] is None)
+            state.update(merges=Merges(spec), known={}, held=0, plain_tokens=spec["decoder"] is None)
             state["added"] = {t["content"]: t["id"] for t in spec["added_tokens"]}
             state["pattern"], state["unusual"] = _plain_pattern()
         self.state = state
@@ -187,9 +187,12 @@ class Codec:
         """Packed ids of at least the given runs."""
         known = self.state["known"]
         new = runs.difference(known)
-        if len(known) + len(new) > REMEMBERED:
+        # A run has at most one id of four bytes for each of its bytes.
+        self.state["held"] += 5 * sum(map(len, new))
+        if self.state["held"] > REMEMBERED_BYTES:
             known.clear()
-            new = runs
+            new = set(runs)
+            self.state["held"] = 5 * sum(map(len, new))
         for content, number in self.state["added"].items():
             if content in new:
                 known[content] = np.array([number], dtype="<u4").tobytes()
@@ -229,6 +232,13 @@ class Codec:
             texts = [texts[i] + texts[i + 1] for i in range(0, len(texts) - 1, 2)] + texts[len(texts) - len(texts) % 2 :]
         return ids[0] if ids else np.zeros(0, dtype="<u4")
 
+    def decoded(self, ids: list[bytes | None]) -> pa.Array:
+        """The texts of packed ids."""
+        if not self.state["plain_tokens"]:
+            raise ValueError("only tokenizers without a decoder, whose text is their tokens, are known here")
+        name = self.merges.names.__getitem__
+        return pa.array([" ".join(map(name, np.frombuffer(x or b"", dtype="<u4").tolist())) for x in ids], pa.string())
+
     def window(
         self, left: bytes, left_ids: np.ndarray, right: bytes, right_ids: np.ndarray, width: int
     ) -> bytes:
@@ -253,18 +263,21 @@ def _packed(ids: list[bytes]) -> pa.Array:
     return pa.array(ids, type=pa.binary())
 
 
-def encode(documents: DataFrame, tokenizer_path: str) -> DataFrame:
+def encode(documents: DataFrame, tokenizer_path: str, decoded: bool = False) -> DataFrame:
     """`documents` with `ids`: the token ids of the whole text, packed as little-endian 32-bit numbers.
 
     One row per row of `documents`, repeated or not. Null and empty texts have no ids. Strings of special
     tokens in a text become those tokens, as the tokenizer does it. A column `ids` of the input is replaced.
+    With `decoded` the ids are decoded by the same worker, as `decode` does it, into a column of that name.
     """
     spark = documents.sparkSession
     bound_batches(spark)
     with open(tokenizer_path, encoding="utf-8") as file:
         state = spark.sparkContext.broadcast({"json": file.read()})  # the vocabulary file: a few MB
-    rest = documents.drop("ids")
+    new = ["ids", "decoded"] if decoded else ["ids"]
+    rest = documents.drop(*new)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema.fields)
+    fields += ", ids binary, decoded string" if decoded else ", ids binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(state.value)
@@ -274,13 +287,15 @@ def encode(documents: DataFrame, tokenizer_path: str) -> DataFrame:
                 runs = [codec.runs(data[a:b].decode()) for a, b in zip(cuts, cuts[1:], strict=False)]
                 known = codec.run_ids({r for each in runs for r in each})
                 ids = [b"".join(map(known.__getitem__, each)) for each in runs]
-                yield pa.RecordBatch.from_arrays([*part.columns, _packed(ids)], [*part.schema.names, "ids"])
+                made = [_packed(ids), codec.decoded(ids)] if decoded else [_packed(ids)]
+                yield pa.RecordBatch.from_arrays([*part.columns, *made], [*part.schema.names, *new])
 
     long = F.coalesce(
         (F.octet_length("text") > SPREAD_BYTES) & F.col("text").rlike(_LONG_RUN % SPREAD_BYTES), F.lit(False)
     )
-    short_rows = rest.where(~long).mapInArrow(run, f"{fields}, ids binary")
-    return short_rows.unionByName(_encode_spread(rest.where(long), state))
+    short_rows = rest.where(~long).mapInArrow(run, fields)
+    long_rows = _encode_spread(rest.where(long), state)
+    return short_rows.unionByName(decode(long_rows, tokenizer_path) if decoded else long_rows)
 
 
 def _encode_spread(documents: DataFrame, state) -> DataFrame:
@@ -331,9 +346,10 @@ def _encode_spread(documents: DataFrame, state) -> DataFrame:
                 texts, ids = [], []
         return pa.table({"key": pa.array([table["key"][0].as_py()], pa.string()), "ids": _packed([b"".join(out)])})
 
-    keyed = documents.withColumn("key", F.sha2(F.col("text").cast("binary"), 256))
+    own = fresh("key", documents)
+    keyed = documents.withColumn(own, F.sha2(F.col("text").cast("binary"), 256))
     encoded = (
-        keyed.select("key", "text")
+        keyed.select(F.col(own).alias("key"), "text")
         .dropDuplicates(["key"])
         .mapInArrow(cut, parts)
         .repartition(F.col("key"), F.col("seq"))
@@ -341,7 +357,7 @@ def _encode_spread(documents: DataFrame, state) -> DataFrame:
         .groupBy("key")
         .applyInArrow(join_all, "key string, ids binary")
     )
-    return keyed.join(encoded, "key").drop("key")
+    return keyed.join(encoded.withColumnRenamed("key", own), own).drop(own)
 
 
 def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
@@ -355,17 +371,9 @@ def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(state.value)
-        if not codec.state["plain_tokens"]:
-            raise ValueError("only tokenizers without a decoder, whose text is their tokens, are known here")
-        names = codec.merges.names
         for batch in batches:
-            texts = [
-                " ".join(map(names.__getitem__, np.frombuffer(x or b"", dtype="<u4").tolist()))
-                for x in batch.column("ids").to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"]
-            )
+            texts = codec.decoded(batch.column("ids").to_pylist())
+            yield pa.RecordBatch.from_arrays([*batch.columns, texts], [*batch.schema.names, "decoded"])
 
     return rest.mapInArrow(run, f"{fields}, decoded string")
 
