@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hexledger.llm import bpe, decontamination, line_dedup, near_dedup, quality_rules
-from hexledger.llm.frames import counted, read_table, same
+from hexledger.llm.frames import counted, fresh, read_table, same
 from hexledger.session import materialize
 
 TOKENIZER = "word_bpe_49k.json"
@@ -38,15 +38,16 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     judged = decontamination.decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
     found = materialize(judged.where("contaminated").select("doc_id", "text_hash").distinct(), "contaminated")
     gone = counted(found, found.count(), near_dedup.BROADCAST_NODES)
-    rows = docs.withColumn("_hash", F.xxhash64("text"))
-    on = same(rows["doc_id"], gone["doc_id"]) & (rows["_hash"] == gone["text_hash"])
+    own = fresh("_hash", docs)
+    rows = docs.withColumn(own, F.xxhash64("text"))
+    on = same(rows["doc_id"], gone["doc_id"]) & (rows[own] == gone["text_hash"])
     return rows.join(gone, on, "left_anti").select(docs.columns)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and the digest of the text that they decode to."""
     path = public_tokenizers.path(TOKENIZER)
-    return bpe.decode(bpe.encode(docs, path).drop("text"), path).select(
+    return bpe.encode(docs, path, decoded=True).select(
         "doc_id",
         "lang",
         "source",
