@@ -55,6 +55,34 @@ def cell_to_parent(cell: Column, resolution: int) -> Column:
     return F.when(_bits(n, RESOLUTION_SHIFT, 15) >= resolution, long_to_cell(moved))
 
 
+# A base cell number as digits of 7, before the digits of the resolutions.
+BASE_DIGITS = 3
+
+
+def cell_to_path(cell: Column, resolution: int) -> Column:
+    """Digits 0 to 6 that lead to the ancestor at `resolution`: three for the base cell, then one per level.
+
+    Null for text that is not a valid id of that resolution or a finer one.
+    """
+    n = cell_to_long(cell)
+    base = _bits(n, BASE_CELL_SHIFT, 127)
+    head = [F.floor(base / 49), F.floor(base / 7) % 7, base % 7]
+    steps = [_bits(n, 3 * (MAX_RESOLUTION - r), 7) for r in range(1, resolution + 1)]
+    known = cell_is_valid(cell) & (_bits(n, RESOLUTION_SHIFT, 15) >= resolution)
+    return F.when(known, F.array(*[d.cast("int") for d in (*head, *steps)]))
+
+
+def path_to_cell(path: Column, resolution: int) -> Column:
+    """The id at the end of a path of `cell_to_path`."""
+    base = path[0] * 49 + path[1] * 7 + path[2]
+    unused = (1 << (3 * (MAX_RESOLUTION - resolution))) - 1
+    n = _long((CELL_MODE << MODE_SHIFT) | (resolution << RESOLUTION_SHIFT) | unused)
+    n = n.bitwiseOR(F.shiftleft(base.cast("long"), BASE_CELL_SHIFT))
+    for r in range(1, resolution + 1):
+        n = n.bitwiseOR(F.shiftleft(path[BASE_DIGITS + r - 1].cast("long"), 3 * (MAX_RESOLUTION - r)))
+    return long_to_cell(n)
+
+
 def cell_is_valid(cell: Column) -> Column:
     """True only for a well-formed cell id; false (never null) for anything else."""
     n = cell_to_long(cell)

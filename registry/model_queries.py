@@ -5,11 +5,13 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
+from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from hexledger.operators import features, models, rows, search
+from hexledger.functions import cells
+from hexledger.operators import features, hierarchy, models, rows, search
 from hexledger.plans import classification, regression
 from hexledger.session import materialize, scratch_path
 from registry.bindings import Tables
@@ -366,6 +368,32 @@ def _(t):
     return _scores(t, {"mlp": network.fit(train).transform(test)})
 
 
+# One network for each digit in which the training cells differ; every row gets a cell of full resolution.
+@query(
+    "train_cell_network",
+    f"""WITH s AS ({_CLASSIFIED_ROWS_SQL})
+        SELECT 'cell_network' AS model, count(*) AS n_scored, count(*) AS n_named, 7 AS widest_output,
+               (SELECT count(*) FROM (SELECT r FROM s, range(1, 10) t(r) WHERE in_train GROUP BY r
+                HAVING count(DISTINCT (CAST('0x' || h3_09 AS bigint) >> CAST(45 - 3 * r AS bigint)) & 7) > 1)) AS n_levels
+        FROM s WHERE NOT in_train""",
+)
+def _(t):
+    train, test = classification_split(t)
+    # The label's own index is not needed: a cell is its digits.
+    stages = [s for s in models.classifier_stages() if not s.hasParam("outputCol") or s.getOutputCol() != "label"]
+    before = Pipeline(stages=stages).fit(train)
+    network = hierarchy.fit_cell_network(before.transform(train))
+    scored = network.transform(before.transform(test))
+    full = cells.cell_is_valid(F.col("predicted_cell")) & (cells.cell_resolution(F.col("predicted_cell")) == 9)
+    return scored.agg(F.count("*").alias("n_scored"), F.count_if(full).alias("n_named")).select(
+        F.lit("cell_network").alias("model"),
+        "n_scored",
+        "n_named",
+        F.lit(network.widest_output).alias("widest_output"),
+        F.lit(len(network.levels)).cast("long").alias("n_levels"),
+    )
+
+
 def _comparison_sql():
     """Both published grids over all folds, and the rows that the two best models scored."""
     parts = [
