@@ -157,6 +157,15 @@ def histogram(df: DataFrame, columns: list[str], bins: int = 45, log1p: bool = F
     )
 
 
+def customer_histograms(tx: DataFrame, customer: str = "customer_id", bins: int = 45) -> DataFrame:
+    """How transactions spread over customer ids, and how many customers have how many transactions.
+
+    The rows of `histogram` for the columns `customer_id` (transactions) and `transactions` (customers).
+    """
+    per_customer = tx.groupBy(customer).agg(F.count("*").alias("transactions"))
+    return histogram(tx, [customer], bins).unionByName(histogram(per_customer, ["transactions"], bins))
+
+
 def boxplot_stats(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
     """Quartiles, whiskers at the last values within 1.5 interquartile ranges, outlier count."""
     keys = [*(by or []), "column_name"]

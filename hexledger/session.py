@@ -45,8 +45,18 @@ def build_session(
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach: `spark.checkpoint.dir`, else the warehouse."""
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """The folder all executors can reach: `spark.checkpoint.dir`, else the warehouse.
+
+    A warehouse that was never set lies under the driver's working folder, which executors on other machines
+    do not have: there `spark.checkpoint.dir` must name a folder.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    warehouse, master = spark.conf.get("spark.sql.warehouse.dir"), spark.sparkContext.master
+    if warehouse.startswith("file:") and not master.startswith("local"):
+        raise ValueError(f"{warehouse} is a folder of one machine: set spark.checkpoint.dir to a shared folder")
+    return warehouse
 
 
 def remove(spark: SparkSession, path: str) -> None:

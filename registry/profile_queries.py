@@ -98,9 +98,9 @@ def _(t):
     return _rounded(profile.column_profile(t.transactions.select(*_PROFILED)))
 
 
-def _histogram_sql(value):
+def _histogram_sql(value, rows=None):
     return f"""
-        WITH x AS (SELECT column_name, {value} AS v FROM ({_long_sql(NUMERIC)})),
+        WITH x AS (SELECT column_name, {value} AS v FROM ({rows or _long_sql(NUMERIC)})),
         b AS (SELECT column_name, min(v) AS lo, max(v) AS hi FROM x GROUP BY column_name),
         p AS (SELECT x.column_name, lo, hi, CASE WHEN lo = hi THEN 0
                      ELSE least(floor((v - lo) / ((hi - lo) / 45)), 44) END AS bin FROM x JOIN b USING (column_name))
@@ -113,6 +113,16 @@ def _(t):
     return profile.histogram(t.transactions, NUMERIC).withColumn("bin_low", F.round("bin_low", 6))
 
 
+_CUSTOMER_ROWS_SQL = """
+    SELECT 'customer_id' AS column_name, CAST(customer_id AS double) AS v FROM tx
+    UNION ALL SELECT 'transactions', CAST(count(*) AS double) FROM tx GROUP BY customer_id"""
+
+
+@query("histogram_customers", _histogram_sql("v", _CUSTOMER_ROWS_SQL))
+def _(t):
+    return profile.customer_histograms(t.transactions).withColumn("bin_low", F.round("bin_low", 6))
+
+
 @query("histogram_log1p", _histogram_sql("ln(1 + v)"))
 def _(t):
     return profile.histogram(t.transactions, NUMERIC, log1p=True).withColumn("bin_low", F.round("bin_low", 6))

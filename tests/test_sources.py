@@ -105,9 +105,64 @@ def test_load_or_build(spark, tmp_path):
     assert len(calls) == 1
     prepared.load_or_build(spark, path, build, schema, force=True)
     assert len(calls) == 2
-    (tmp_path / "split" / "test" / "_SUCCESS").unlink()
-    prepared.load_or_build(spark, path, build, schema)
-    assert len(calls) == 3
+    # A rebuild takes a folder of its own; of the older ones only the last stays.
+    for _ in range(3):
+        prepared.load_or_build(spark, path, build, schema, force=True)
+    assert len(calls) == 5 and len(list((tmp_path / "split" / "versions").iterdir())) == 2
+    train, test = prepared.load_or_build(spark, path, build, schema)
+    assert (train.count(), test.count(), len(calls)) == (8, 2, 5)
+
+
+@pytest.mark.parametrize("stop_at", ["train", "test", "schema", "publish"])
+def test_a_stopped_rebuild_leaves_the_pair_that_was_there(spark, tmp_path, monkeypatch, stop_at):
+    path = str(tmp_path / "split")
+
+    def pair(first):
+        return lambda: (spark.range(first, first + 6), spark.range(first + 6, first + 8))
+
+    def held(rows):
+        return sorted(r.id for df in rows for r in df.collect())
+
+    assert held(prepared.load_or_build(spark, path, pair(0))) == list(range(8))
+    written = []
+
+    def stop(df, target):
+        if stop_at == target.rsplit("/", 1)[1]:
+            raise RuntimeError("stopped")
+        written.append(target)
+        return whole(df, target)
+
+    def stopped(*args, **kwargs):
+        raise RuntimeError("stopped")
+
+    whole = prepared.write_json_lines
+    with monkeypatch.context() as patch, pytest.raises(RuntimeError, match="stopped"):
+        patch.setattr(prepared, "write_json_lines", stop)
+        if stop_at == "publish":
+            patch.setattr(prepared, "_publish", stopped)
+        if stop_at == "schema":
+            patch.setattr("pyspark.sql.readwriter.DataFrameWriter.text", stopped)
+        prepared.load_or_build(spark, path, pair(100), force=True)
+    assert len(written) == {"train": 0, "test": 1}.get(stop_at, 2)
+    # The next call reads both halves of the first build, and a finished rebuild replaces both.
+    assert held(prepared.load_or_build(spark, path, pair(200))) == list(range(8))
+    assert held(prepared.load_or_build(spark, path, pair(200), force=True)) == list(range(200, 208))
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    from hexledger.session import shared_dir
+
+    class Session:
+        def __init__(self, master, **conf):
+            self.sparkContext = type("C", (), {"master": master})()
+            self.conf = conf
+
+    local = {"spark.sql.warehouse.dir": "file:/work/spark-warehouse"}
+    assert shared_dir(Session("local[8]", **local)) == "file:/work/spark-warehouse"
+    assert shared_dir(Session("yarn", **{"spark.sql.warehouse.dir": "hdfs://n/w"})) == "hdfs://n/w"
+    assert shared_dir(Session("yarn", **local, **{"spark.checkpoint.dir": "s3a://b/c"})) == "s3a://b/c"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session("spark://host:7077", **local))
 
 
 def test_load_or_build_needs_no_schema(spark, tmp_path):
