@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from itertools import combinations
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -193,23 +197,83 @@ def boxplot_stats(df: DataFrame, columns: list[str], by: list[str] | None = None
     )
 
 
+# Partial products of tasks are added up in so many groups first.
+_SUM_GROUPS = 64
+_LINES = "part int, line int, entries array<double>"
+# A variance below this share of the squares is what rounding leaves of a constant.
+_ROUNDING = 1e-12
+
+
+def _pair_products(values: np.ndarray, present: np.ndarray) -> np.ndarray:
+    """For all pairs of columns over rows where both are present: rows, sums and squares of the first column,
+    products, and rows in which the first column is not a finite number. One matrix product each."""
+    odd = present & ~np.isfinite(values)
+    x, m = np.where(present & ~odd, values, 0.0), present.astype(float)
+    return np.vstack((m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x, odd.astype(float).T @ m))
+
+
+def _correlations(products: np.ndarray) -> list[float | None]:
+    """The correlation of every pair, row by row; null without variance, NaN where a number is not finite."""
+    n, sums, squares, crossed, odd = products.reshape(5, products.shape[1], -1)
+    rows = np.maximum(n, 1.0)
+    varied = squares - sums**2 / rows
+    known = (n > 1) & (varied > _ROUNDING * squares) & (varied.T > _ROUNDING * squares.T)
+    shared = crossed - sums * sums.T / rows
+    corr = np.clip(shared / np.sqrt(np.where(known, varied * varied.T, 1.0)), -1.0, 1.0)
+    corr[(odd + odd.T) > 0] = np.nan
+    known |= (odd + odd.T) > 0
+    return [float(c) if k else None for c, k in zip(corr.ravel(), known.ravel(), strict=True)]
+
+
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Pearson correlation of every pair of numeric columns over rows where both are present.
 
-    Each unordered pair is computed once, all pairs in one pass, and emitted in both directions; a
-    column with itself is 1 unless it is constant.
+    Every task multiplies its rows, less a mean of each column, into five matrices; only these are shuffled and
+    added up, so the plan does not grow with the number of pairs. A column with itself is 1 unless it is constant.
     """
     columns = columns or numeric_columns(df)
-    pairs = {pair: f"c{i}" for i, pair in enumerate(combinations(columns, 2))}
-    own = {a: f"d{i}" for i, a in enumerate(columns)}
-    wide = df.agg(
-        *[F.expr(f"corr(CAST(`{a}` AS double), CAST(`{b}` AS double)) AS {name}") for (a, b), name in pairs.items()],
-        *[F.expr(f"CASE WHEN min(`{a}`) < max(`{a}`) THEN 1D END AS {name}") for a, name in own.items()],
-    )
-    cells = [(a, b, name) for (a, b), name in pairs.items()]
-    cells += [(b, a, name) for a, b, name in cells] + [(a, a, name) for a, name in own.items()]
-    listed = ", ".join(f"named_struct('col_a', '{a}', 'col_b', '{b}', 'corr', {name})" for a, b, name in cells)
-    return wide.select(F.expr(f"inline(array({listed}))"))
+    doubles = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    finite = [F.when(F.abs(c) < float("inf"), F.col(c)) for c in doubles.columns]
+    ends = [
+        F.struct(F.avg(f).alias("mean"), F.min(c).alias("lo"), F.max(c).alias("hi"))
+        for f, c in zip(finite, doubles.columns, strict=True)
+    ]
+    about = doubles.agg(*[e.alias(f"e{i}") for i, e in enumerate(ends)]).first() if columns else ()
+    # A constant is its own mean exactly, so that nothing is left of it.
+    shift = np.array([(e.lo if e.lo == e.hi else e.mean) or 0.0 for e in about])
+    shift = np.where(np.isfinite(shift), shift, 0.0)
+    varies = [e.lo is not None and not e.lo == e.hi for e in about]
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((5 * len(columns), len(columns)))
+        for batch in batches:
+            read = [pc.fill_null(c, 0.0).to_numpy(zero_copy_only=False) for c in batch.columns]
+            held = [c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns]
+            total += _pair_products(np.column_stack(read) - shift, np.column_stack(held))
+        lines = np.arange(len(total), dtype=np.int32)
+        part = np.full(len(total), TaskContext.get().partitionId(), dtype=np.int32)
+        entries = pa.array(list(total), pa.list_(pa.float64()))
+        yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(lines), entries], ["part", "line", "entries"])
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.sum(table.sort_by("part")["entries"].to_pylist(), axis=0)
+        first = [pa.array([table[c][0].as_py()], pa.int32()) for c in ("part", "line")]
+        return pa.table([*first, pa.array([total], pa.list_(pa.float64()))], ["part", "line", "entries"])
+
+    def finish(table: pa.Table) -> pa.Table:
+        corr = _correlations(np.array(table.sort_by("line")["entries"].to_pylist()))
+        for i, moves in enumerate(varies):
+            corr[i * (len(columns) + 1)] = 1.0 if moves else None
+        pairs = [[a for a in columns for _ in columns], [b for _ in columns for b in columns]]
+        return pa.table([*map(pa.array, pairs), pa.array(corr, pa.float64())], ["col_a", "col_b", "corr"])
+
+    schema = "col_a string, col_b string, corr double"
+    if not columns:
+        return df.sparkSession.createDataFrame([], schema)
+    parts = doubles.mapInArrow(multiply, _LINES)
+    summed = parts.groupBy("line", F.col("part") % _SUM_GROUPS).applyInArrow(lambda _, t: add(t), _LINES)
+    summed = summed.groupBy("line").applyInArrow(lambda _, t: add(t), _LINES)
+    return summed.groupBy().applyInArrow(finish, schema)
 
 
 def bounding_box(df: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFrame:

@@ -239,3 +239,46 @@ def test_suffix_join(spark):
     got = joins.attach_with_suffixes(a, b, "k")
     assert got.columns == ["k", "lat_x", "only", "lat_y"]
     assert tuple(got.first()) == (1, 5.0, "l", 6.0)
+
+
+def test_correlations_over_present_pairs(spark):
+    """Pair by pair against numpy: nulls, constants, far means, numbers that are not finite."""
+    import math
+    import random
+
+    dice, rows = random.Random(2), []
+    for k in range(300):
+        a = dice.gauss(0, 1)
+        rows.append((
+            a if k % 7 else None,
+            1e9 + a + dice.gauss(0, 1) if k % 5 else None,
+            5.5,
+            float(k % 3),
+            2.5 if k % 7 else float(k),  # constant where the first column is present
+            float("nan") if k == 20 else a * 2,
+            None,
+        ))
+    names = ["a", "far", "same", "w.x", "partly", "odd", "none"]
+    df = spark.createDataFrame(rows, ", ".join(f"`{n}` double" for n in names)).repartition(5)
+    got = {(r.col_a, r.col_b): r["corr"] for r in profile.correlation_matrix(df).collect()}
+    assert set(got) == {(a, b) for a in names for b in names}
+    for i, a in enumerate(names):
+        assert got[a, a] == (None if a in ("same", "none") else 1.0)
+        for b in names[i + 1 :]:
+            both = [(r[i], r[names.index(b)]) for r in rows if r[i] is not None and r[names.index(b)] is not None]
+            assert got[a, b] == got[b, a] or math.isnan(got[a, b])
+            if any(math.isnan(x + y) for x, y in both):
+                assert math.isnan(got[a, b])
+            elif len(both) < 2 or any(len({p[k] for p in both}) == 1 for k in (0, 1)):
+                assert got[a, b] is None, (a, b)
+            else:
+                assert math.isclose(got[a, b], np.corrcoef(np.array(both).T)[0, 1], abs_tol=1e-6), (a, b)
+    assert math.isnan(got["a", "odd"]) and got["a", "partly"] is None and got["a", "same"] is None
+    assert {r["corr"] for r in profile.correlation_matrix(df.limit(0)).collect()} <= {None}
+
+
+def test_correlation_plan_does_not_grow_with_pairs(spark):
+    wide = spark.range(50).select(*[(F.col("id") * k % 17).cast("double").alias(f"c{k}") for k in range(1, 41)])
+    corr = profile.correlation_matrix(wide)
+    assert corr.count() == 1600
+    assert "corr(" not in corr._jdf.queryExecution().toString()
