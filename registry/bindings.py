@@ -116,10 +116,17 @@ class Tables:
         path, schema = _STORED[key]
         return self.spark.read.schema(schema).parquet(path)
 
-    @cached_property
+    @property
     def _lines(self) -> DataFrame:
+        """Line items with their customers, joined once for both tables that are derived from them."""
+        return self._stored("lines", self._joined_lines)
+
+    def _joined_lines(self) -> DataFrame:
         orders = self.raw("orders").select("o_orderkey", "o_custkey")
-        return self.raw("lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        lines = self.raw("lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        return lines.select(
+            "l_suppkey", "l_partkey", "l_shipdate", "l_extendedprice", "l_returnflag", "l_quantity", "o_custkey"
+        )
 
     @property
     def transactions(self) -> DataFrame:
