@@ -2,18 +2,22 @@
 
 A rolling hash over `TRIGGER` bytes sets triggers: in each string of `WIDTH` bytes the smallest hash is one,
 so every string has a trigger of its own that only its content decides. The strings that share a trigger
-overlap in one phrase, and each string lies in exactly one phrase, at the place its trigger gives it: equal
-strings lie in phrases with equal triggers, at equal distances. So the corpus order of all suffixes up to
-`WIDTH` bytes follows from the suffixes of the dictionary (the different phrases) alone, in which a phrase
-that occurs a thousand times is sorted once.
-
-1. Documents are packed into chunks, stored once, bucketed so that later joins do not move the texts.
+overlap in one phrase, and each string lies in exactly one phrase, at the place its trigger gives it. Phrases
+overlap by `WIDTH` - 1 bytes, so a suffix of the corpus is told from others up to `WIDTH` bytes by the suffix of
+its phrase alone. The order of the parse ranks suffixes only among those with equal phrase suffixes; of these the
+first and the last document are all that is asked for. So the dictionary is sorted by its suffixes, the parse is
+kept as the list of phrase ids of each chunk, by id, with the documents they stand in, and both together give
+the classes of equal strings of the corpus and the smallest document of each.
+
+1. Documents are packed into chunks and stored where they are packed, so that later joins do not move the texts.
 2. Triggers of each chunk go to tasks by their hash; those that occur in one document only drop out.
-3. The phrases of the others, each once a chunk with its smallest document, go to tasks by their trigger. There
-   the suffixes of these phrases are sorted, and each group of equal strings gives its smallest document.
-4. The chunks take these back, and mark and cut the strings of documents that are not the smallest.
+3. The parse: the different phrases of a chunk as 64-bit ids, with first and last document, are stored by bucket.
+4. The dictionary: the content of each different phrase of the corpus is sent once, by the smallest chunk that has
+   it. In a bucket its suffixes are sorted, and each class of `WIDTH` equal bytes gives its smallest document.
+5. The parse takes these back to the chunks, which mark and cut the strings of documents that are not the smallest.
 
-A trigger that very many chunks share is dealt on by its whole strings instead, so none is a hot key.
+A trigger that very many chunks share is dealt on by its whole strings instead, so none is a hot key. Different
+phrases are taken for one if both their 64-bit ids and their buckets collide.
 """
 
 from __future__ import annotations
@@ -36,16 +40,18 @@ from hexledger.session import materialize, scratch_path
 
 WIDTH = 50
 TRIGGER = 24
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 21
 # Text whose triggers one task compares.
-BUCKET_BYTES = 1 << 23
+BUCKET_BYTES = 1 << 24
 # A trigger in so many chunks is dealt on by whole strings.
-HEAVY_CHUNKS = 256
+HEAVY_CHUNKS = 1 << 13
 
 _REACH = WIDTH - TRIGGER + 1  # triggers that a string can have
 _SEGMENT = 1 << 18
 _PLACE = np.uint64((1 << 22) - 1)
-_PACKED = "chunk long, orders array<long>, hashes array<long>, cuts array<long>, data binary"
+# Where the eight-byte pieces begin that together are a string; the last two overlap.
+_PIECES = (*range(0, WIDTH - 7, 8), WIDTH - 8)
+_PACKED = "part long, chunk long, orders array<long>, hashes array<long>, cuts array<long>, data binary"
 
 
 @dataclass
@@ -107,6 +113,7 @@ def _texts(row: dict) -> Texts:
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema(
         [
+            ("part", pa.int64()),
             ("chunk", pa.int64()),
             ("orders", pa.list_(pa.int64())),
             ("hashes", pa.list_(pa.int64())),
@@ -114,12 +121,13 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ("data", pa.binary()),
         ]
     )
-    chunk = TaskContext.get().partitionId() << 32
+    part = TaskContext.get().partitionId()
+    chunk = part << 32
     orders, hashes, data, size = [], [], [], 0
 
     def full() -> pa.RecordBatch:
         cuts = np.concatenate(([0], np.cumsum([len(d) for d in data]))).tolist()
-        row = {"chunk": chunk, "orders": orders, "hashes": hashes, "cuts": cuts, "data": b"".join(data)}
+        row = {"part": part, "chunk": chunk, "orders": orders, "hashes": hashes, "cuts": cuts, "data": b"".join(data)}
         return pa.RecordBatch.from_pylist([row], schema=schema)
 
     for batch in batches:
@@ -138,6 +146,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _trigger_rows(buckets: int):
     """Step 2, in the chunks: the different triggers by bucket, and whether two documents share one."""
+    schema = _schema(bucket=pa.int32(), part=pa.int64(), chunk=pa.int64(), keys=pa.binary(), shared=pa.binary())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -146,13 +155,8 @@ def _trigger_rows(buckets: int):
                 rows = []
                 for bucket, keys, documents, _ in _by_bucket(phrases(texts, texts.prefix()), buckets):
                     shared = documents[1] != documents[0]
-                    rows.append((bucket, row["chunk"], keys.tobytes(), np.packbits(shared).tobytes()))
-                columns = list(zip(*rows, strict=True)) or [(), (), (), ()]
-                types = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
-                    names=["bucket", "chunk", "keys", "shared"],
-                )
+                    rows.append((bucket, row["part"], row["chunk"], keys.tobytes(), np.packbits(shared).tobytes()))
+                yield _batch(rows, schema)
 
     return run
 
@@ -190,6 +194,7 @@ def _shared_triggers(table: pa.Table) -> pa.Table:
     bucket = table["bucket"][0].as_py()
     return pa.table(
         {
+            "part": table["part"],
             "chunk": table["chunk"],
             "bucket": pa.array([bucket] * len(keys), pa.int32()),
             "status": pa.array([s.tobytes() for s in np.split(of_each, cuts)], pa.binary()),
@@ -199,16 +204,20 @@ def _shared_triggers(table: pa.Table) -> pa.Table:
 
 @dataclass
 class Contents:
-    """The different contents of a chunk's shared phrases, in the order of their buckets.
-
-    `of_phrase` and `skip` place a content in each phrase of `found`: it starts `skip` bytes after `low`.
-    """
+    """The different contents of a chunk's shared phrases, in the order of their buckets and ids."""
 
     bucket: np.ndarray
+    ident: np.ndarray
     start: np.ndarray  # an occurrence in the chunk
     size: np.ndarray
     found: Phrases
-    of_phrase: np.ndarray
+    of_phrase: np.ndarray  # the content of each phrase of `found`
+
+    def by_bucket(self) -> Iterator[tuple[int, int]]:
+        """Begin and end of each bucket's contents."""
+        if len(self.bucket):
+            edges = np.flatnonzero(np.diff(self.bucket)) + 1
+            yield from zip([0, *edges.tolist()], [*edges.tolist(), len(self.bucket)], strict=True)
 
 
 def contents(texts: Texts, prefix: np.ndarray, status: dict[int, np.ndarray], buckets: int) -> Contents:
@@ -234,17 +243,58 @@ def contents(texts: Texts, prefix: np.ndarray, status: dict[int, np.ndarray], bu
     content = texts.segment_hash(prefix, both.low, both.high + WIDTH)
     dealt = np.concatenate((light.trigger, mix(content[len(light.low) :])))
     bucket = _bucket(dealt, buckets)
-    order = np.lexsort((both.high - both.low, content, both.trigger, bucket))
+    order = np.lexsort((content, bucket))
     both, content, bucket = both.take(order), content[order], bucket[order]
-    size = both.high - both.low + WIDTH
     new = np.ones(len(content), dtype=bool)
-    new[1:] = (content[1:] != content[:-1]) | (both.trigger[1:] != both.trigger[:-1]) | (bucket[1:] != bucket[:-1]) | (size[1:] != size[:-1])
+    new[1:] = (content[1:] != content[:-1]) | (bucket[1:] != bucket[:-1])
     first = np.flatnonzero(new)
-    return Contents(bucket[first], both.low[first], size[first], both, np.cumsum(new) - 1)
+    size = (both.high - both.low + WIDTH)[first]
+    return Contents(bucket[first], content[first], both.low[first], size, both, np.cumsum(new) - 1)
 
 
-def _content_rows(buckets: int):
-    """Step 3, in the chunks: the contents by bucket, each with its smallest and largest document."""
+def _narrow(values: np.ndarray) -> bytes:
+    """Unsigned numbers in as few bytes as the largest needs."""
+    return values.astype(np.min_scalar_type(int(values.max(initial=0)))).tobytes()
+
+
+def _widen(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, dtype=f"u{len(data) // n}").astype(np.uint64)
+
+
+def _pack_documents(least: np.ndarray, most: np.ndarray) -> tuple[int, bytes, bytes]:
+    """First and last documents as a base, distances from it, and distances of the last from the first."""
+    base = least.min()
+    distance = least.view(np.uint64) - base.view(np.uint64)
+    return int(base), _narrow(distance), _narrow(most.view(np.uint64) - least.view(np.uint64))
+
+
+def _unpack_documents(row: dict, n: int) -> tuple[np.ndarray, np.ndarray]:
+    least = _widen(row["least"], n) + np.array([row["base"]], dtype=np.int64).view(np.uint64)
+    return least.view(np.int64), (least + _widen(row["span"], n)).view(np.int64)
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * len(schema)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
+    )
+
+
+def _schema(**types: pa.DataType) -> pa.Schema:
+    return pa.schema(list(types.items()))
+
+
+_DOCUMENTS = {"base": pa.int64(), "least": pa.binary(), "span": pa.binary()}
+_PARSE = "bucket int, part long, chunk long, idents binary, base long, least binary, span binary"
+_WANTED = "part long, chunk long, bucket int, places binary, base long, least binary, span binary"
+_CONTENT = "bucket int, idents binary, sizes binary, data binary, base long, least binary, span binary"
+_SMALLEST = "bucket int, idents binary, document binary, mask binary"
+_SMALLER = "part long, chunk long, bucket int, content binary, document binary, mask binary"
+
+
+def _parse_rows(buckets: int):
+    """Step 3, in the chunks: the ids of their phrases by bucket, each with its first and last document."""
+    schema = _schema(bucket=pa.int32(), part=pa.int64(), chunk=pa.int64(), idents=pa.binary(), **_DOCUMENTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -256,114 +306,149 @@ def _content_rows(buckets: int):
                 least, most = np.full(n, np.iinfo(np.int64).max), np.full(n, np.iinfo(np.int64).min)
                 np.minimum.at(least, own.of_phrase, orders)
                 np.maximum.at(most, own.of_phrase, orders)
-                edges = np.concatenate(([0], np.flatnonzero(np.diff(own.bucket)) + 1, [n])) if n else np.zeros(1, int)
+                rows = [
+                    (int(own.bucket[a]), row["part"], row["chunk"], own.ident[a:b].tobytes())
+                    + _pack_documents(least[a:b], most[a:b])
+                    for a, b in own.by_bucket()
+                ]
+                yield _batch(rows, schema)
+
+    return run
+
+
+def _status(entries: list | None) -> dict[int, np.ndarray]:
+    return {e["bucket"]: np.frombuffer(e["status"], dtype=np.uint8) for e in entries or []}
+
+
+def _wanted(table: pa.Table) -> pa.Table:
+    """Step 4, by bucket: which contents the smallest chunk that has them is to send, and their documents."""
+    rows = sorted(table.to_pylist(), key=lambda r: r["chunk"])
+    idents = [np.frombuffer(r["idents"], dtype=np.uint64) for r in rows]
+    documents = [_unpack_documents(r, len(i)) for r, i in zip(rows, idents, strict=True)]
+    every = np.concatenate(idents)
+    order = np.argsort(every, kind="stable")
+    new = np.ones(len(every), dtype=bool)
+    new[1:] = every[order[1:]] != every[order[:-1]]
+    first = np.flatnonzero(new)
+    least = np.minimum.reduceat(np.concatenate([d[0] for d in documents])[order], first)
+    most = np.maximum.reduceat(np.concatenate([d[1] for d in documents])[order], first)
+    turn = np.argsort(order[first])
+    place, least, most = order[first][turn], least[turn], most[turn]
+    bounds = np.cumsum([0] + [len(i) for i in idents])
+    cuts = np.searchsorted(place, bounds)
+    out = [
+        (r["part"], r["chunk"], r["bucket"], (place[a:b] - bounds[k]).astype(np.uint32).tobytes())
+        + _pack_documents(least[a:b], most[a:b])
+        for k, (r, a, b) in enumerate(zip(rows, cuts[:-1], cuts[1:], strict=True))
+        if b > a
+    ]
+    schema = _schema(part=pa.int64(), chunk=pa.int64(), bucket=pa.int32(), places=pa.binary(), **_DOCUMENTS)
+    return pa.Table.from_batches([_batch(out, schema)])
+
+
+def _content_rows(buckets: int):
+    """Step 4, in the chunks: the contents that this chunk sends for the corpus."""
+    schema = _schema(
+        bucket=pa.int32(), idents=pa.binary(), sizes=pa.binary(), data=pa.binary(), **_DOCUMENTS
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                texts = _texts(row)
+                own = contents(texts, texts.prefix(), _status(row["status"]), buckets)
                 rows = []
-                for a, b in zip(edges[:-1], edges[1:], strict=True):
-                    ends = np.cumsum(own.size[a:b])
-                    at = np.repeat(own.start[a:b] - (ends - own.size[a:b]), own.size[a:b]) + np.arange(ends[-1])
+                for entry in row["wanted"]:
+                    chosen = np.frombuffer(entry["places"], dtype=np.uint32).astype(np.int64)
+                    chosen += np.searchsorted(own.bucket, entry["bucket"])
+                    size = own.size[chosen]
+                    ends = np.cumsum(size)
+                    at = np.repeat(own.start[chosen] - (ends - size), size) + np.arange(ends[-1])
                     rows.append(
                         (
-                            int(own.bucket[a]),
-                            row["chunk"],
+                            entry["bucket"],
+                            own.ident[chosen].tobytes(),
+                            size.astype(np.uint8).tobytes(),
                             texts.data[at].tobytes(),
-                            own.size[a:b].astype(np.uint8).tobytes(),
-                            least[a:b].tobytes(),
-                            most[a:b].tobytes(),
+                            entry["base"],
+                            entry["least"],
+                            entry["span"],
                         )
                     )
-                columns = list(zip(*rows, strict=True)) or [()] * 6
-                types = (pa.int32(), pa.int64(), *[pa.binary()] * 4)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
-                    names=["bucket", "chunk", "data", "sizes", "least", "most"],
-                )
+                yield _batch(rows, schema)
 
     return run
 
 
-def _status(entries: list | None) -> dict[int, np.ndarray]:
-    return {e["bucket"]: np.frombuffer(e["status"], dtype=np.uint8) for e in entries or []}
+def suffix_order(data: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The suffixes that begin at `start` in the order of their first `WIDTH` bytes, and flags of each new string."""
+    pieces = np.ndarray(len(data) - 7, dtype=">u8", buffer=data, strides=(1,))
+    order = np.arange(len(start))
+    for k in reversed(_PIECES):
+        order = order[np.argsort(pieces[start[order] + k].astype(np.uint64), kind="stable")]
+    new = np.zeros(len(start), dtype=bool)
+    new[:1] = True
+    for k in _PIECES:
+        piece = pieces[start[order] + k]
+        new[1:] |= piece[1:] != piece[:-1]
+    return order, new
 
 
 def _smallest_documents(table: pa.Table) -> pa.Table:
-    """Step 3, by bucket: (content, document, mask) for strings that start in a smaller document.
-
-    The suffixes of the contents that have `WIDTH` bytes are sorted by those bytes (by their hash, and equal
-    neighbours compared byte by byte).
-    """
-    sizes = [np.frombuffer(s, dtype=np.uint8).astype(np.int64) for s in table["sizes"].to_pylist()]
-    least = np.concatenate([np.frombuffer(x, dtype=np.int64) for x in table["least"].to_pylist()])
-    most = np.concatenate([np.frombuffer(x, dtype=np.int64) for x in table["most"].to_pylist()])
-    every = np.concatenate(sizes)
-    texts = Texts(
-        np.frombuffer(b"".join(table["data"].to_pylist()), dtype=np.uint8), np.concatenate(([0], np.cumsum(every)))
-    )
-    count = every - WIDTH + 1
-    content = np.repeat(np.arange(len(every)), count)
+    """Step 4, by bucket: (content, document, mask) for strings that start in a smaller document than the last."""
+    rows = table.to_pylist()
+    idents = np.concatenate([np.frombuffer(r["idents"], dtype=np.uint64) for r in rows])
+    documents = [_unpack_documents(r, len(r["sizes"])) for r in rows]
+    least, most = (np.concatenate([d[k] for d in documents]) for k in (0, 1))
+    size = np.concatenate([np.frombuffer(r["sizes"], dtype=np.uint8) for r in rows]).astype(np.int64)
+    data = np.frombuffer(b"".join(r["data"] for r in rows), dtype=np.uint8)
+    count = size - WIDTH + 1
+    content = np.repeat(np.arange(len(size)), count)
     offset = np.arange(len(content)) - np.repeat(np.cumsum(count) - count, count)
-    start = texts.offsets[:-1][content] + offset
-    hashes = _string_hashes(texts, start)
-    order = np.argsort(hashes, kind="stable")
-    group = _groups(texts.data, start, hashes, order)
-    edges = np.flatnonzero(group)
+    order, new = suffix_order(data, (np.cumsum(size) - size)[content] + offset)
+    edges = np.flatnonzero(new)
     lowest = np.minimum.reduceat(least[content[order]], edges)
     lowest = np.repeat(lowest, np.diff(np.append(edges, len(order))))
     hit = lowest < most[content[order]]
     chosen, lowest = order[hit], lowest[hit]
-    # One row for each content and smallest document, with the offsets as bits.
+    # One entry for each content and smallest document, with the offsets as bits.
     content, offset = content[chosen], offset[chosen]
-    turn = np.lexsort((lowest, content))
+    turn = np.lexsort((lowest, idents[content]))
     content, offset, lowest = content[turn], offset[turn], lowest[turn]
     new = np.ones(len(content), dtype=bool)
     new[1:] = (content[1:] != content[:-1]) | (lowest[1:] != lowest[:-1])
     first = np.flatnonzero(new)
     bits = np.left_shift(np.uint32(1), offset.astype(np.uint32))
     masks = np.bitwise_or.reduceat(bits, first) if len(first) else bits
-    content, lowest = content[first], lowest[first]
-    bounds = np.cumsum([len(s) for s in sizes])
-    cuts = np.searchsorted(content, bounds)
-    begins = np.concatenate(([0], cuts[:-1]))
-    base = bounds - np.array([len(s) for s in sizes])
-    pack = lambda values: pa.array([values[a:b].tobytes() for a, b in zip(begins, cuts, strict=True)], pa.binary())
-    within = (content - np.repeat(base, cuts - begins)).astype(np.uint32)
-    return pa.table(
-        {
-            "chunk": table["chunk"],
-            "bucket": pa.array([table["bucket"][0].as_py()] * len(sizes), pa.int32()),
-            "content": pack(within),
-            "document": pack(lowest),
-            "mask": pack(masks),
-        }
-    )
+    out = (rows[0]["bucket"], idents[content[first]].tobytes(), lowest[first].tobytes(), masks.tobytes())
+    schema = _schema(bucket=pa.int32(), idents=pa.binary(), document=pa.binary(), mask=pa.binary())
+    return pa.Table.from_batches([_batch([out], schema)])
 
 
-def _string_hashes(texts: Texts, start: np.ndarray) -> np.ndarray:
-    """The hash of the string at each of the ascending starts, part by part."""
-    out = np.empty(len(start), dtype=np.uint64)
-    for first in range(0, len(texts.data), _SEGMENT):
-        a, b = np.searchsorted(start, (first, first + _SEGMENT))
-        if b > a:
-            part = Texts(texts.data[first : first + _SEGMENT + WIDTH], np.zeros(1, dtype=np.int64))
-            out[a:b] = part.window_hash(part.prefix(), WIDTH)[start[a:b] - first]
-    return out
-
-
-def _groups(data: np.ndarray, start: np.ndarray, hashes: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """Flags of the first of each group of equal strings in `order`; reorders it if a hash deceived."""
-    new = np.ones(len(order), dtype=bool)
-    new[1:] = hashes[order[1:]] != hashes[order[:-1]]
-    rows = np.lib.stride_tricks.sliding_window_view(data, WIDTH)
-    again = np.flatnonzero(~new)
-    for a in range(0, len(again), 1 << 16):
-        at = again[a : a + (1 << 16)]
-        if (rows[start[order[at]]] != rows[start[order[at - 1]]]).any():
-            break
-    else:
-        return new
-    strings = np.ascontiguousarray(rows[start]).view(f"V{WIDTH}").ravel()
-    order[:] = np.argsort(strings, kind="stable")
-    new[1:] = strings[order[1:]] != strings[order[:-1]]
-    return new
+def _back_to_chunks(parse: pa.Table, smallest: pa.Table) -> pa.Table:
+    """Step 5, by bucket: the entries of each chunk's contents that have a document above the smallest."""
+    schema = _schema(
+        part=pa.int64(), chunk=pa.int64(), bucket=pa.int32(), content=pa.binary(), document=pa.binary(), mask=pa.binary()
+    )
+    out = []
+    for entries in smallest.to_pylist():  # one row
+        known = np.frombuffer(entries["idents"], dtype=np.uint64)
+        document = np.frombuffer(entries["document"], dtype=np.int64)
+        mask = np.frombuffer(entries["mask"], dtype=np.uint32)
+        for batch in parse.to_batches():
+            for row in batch.to_pylist():
+                idents = np.frombuffer(row["idents"], dtype=np.uint64)
+                _, most = _unpack_documents(row, len(idents))
+                begin = np.searchsorted(known, idents, side="left")
+                n = np.searchsorted(known, idents, side="right") - begin
+                content = np.repeat(np.arange(len(idents)), n)
+                at = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(len(content))
+                hit = document[at] < most[content]
+                content, at = content[hit].astype(np.uint32), at[hit]
+                if len(at):
+                    values = (content.tobytes(), document[at].tobytes(), mask[at].tobytes())
+                    out.append((row["part"], row["chunk"], row["bucket"], *values))
+    return pa.Table.from_batches([_batch(out, schema)])
 
 
 def _cut(buckets: int, with_text: bool):
@@ -437,22 +522,28 @@ def _cut(buckets: int, with_text: bool):
     return run
 
 
+def _stored(frame: DataFrame, column: str, buckets: int, purpose: str) -> DataFrame:
+    """`frame` as a table whose rows lie in buckets by `column`, as they come."""
+    spark = frame.sparkSession
+    name = f"llm_{purpose}_{uuid.uuid4().hex}"
+    writer = frame.write.format("parquet").option("compression", "zstd").option("path", scratch_path(spark, purpose))
+    writer.bucketBy(buckets, column).saveAsTable(name)
+    atexit.register(_forget, spark, name)
+    return spark.table(name)
+
+
 def _corpus(documents: DataFrame) -> tuple[DataFrame, int]:
-    """The chunks, stored in buckets by chunk; and the bytes of all texts."""
-    spark = documents.sparkSession
+    """The chunks, each packing task's in a bucket, so that nothing is shuffled; and the bytes of all texts."""
     # Null ids come before all others.
     order = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
     rows = documents.select(order.alias("order"), F.xxhash64("text").alias("text_hash"), "text")
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    buckets = max(total // (16 * CHUNK_BYTES), 1)
-    name = f"llm_corpus_{uuid.uuid4().hex}"
-    path = scratch_path(spark, "corpus")
-    packed = rows.mapInArrow(_pack, _PACKED).repartition(buckets, "chunk")
-    packed.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(
-        buckets, "chunk"
-    ).saveAsTable(name)
-    atexit.register(_forget, spark, name)
-    return spark.table(name), total
+    return _stored(rows.mapInArrow(_pack, _PACKED), "part", _tables(total), "corpus"), total
+
+
+def _tables(total: int) -> int:
+    """Buckets of a stored table: about so many tasks read it side by side."""
+    return min(max(total // (4 * CHUNK_BYTES), 1), 50_000)
 
 
 def _forget(spark, name: str) -> None:
@@ -460,6 +551,11 @@ def _forget(spark, name: str) -> None:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+def _of_chunks(rows: DataFrame, name: str, *columns: str) -> DataFrame:
+    """One row per chunk with the list of its rows."""
+    return rows.groupBy("part", "chunk").agg(F.collect_list(F.struct(*columns)).alias(name))
+
+
 def remove_repeats(documents: DataFrame, spans: bool = True) -> DataFrame:
     """doc_id, text_hash, n_bytes, n_removed, n_spans, kept (binary) and, if asked, spans of each document.
 
@@ -471,35 +567,37 @@ def remove_repeats(documents: DataFrame, spans: bool = True) -> DataFrame:
     """
     spark = documents.sparkSession
     bound_batches(spark)
+    # Chunks lie in buckets by their part; joins by part and chunk are to use that.
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     corpus, total = _corpus(documents)
     buckets = total // BUCKET_BYTES + 1
-    triggers = corpus.mapInArrow(_trigger_rows(buckets), "bucket int, chunk long, keys binary, shared binary")
-    shared = triggers.groupBy("bucket").applyInArrow(_shared_triggers, "chunk long, bucket int, status binary")
-    status = materialize(
-        shared.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "status")).alias("status")), "trigger-status"
+    triggers = corpus.mapInArrow(
+        _trigger_rows(buckets), "bucket int, part long, chunk long, keys binary, shared binary"
     )
-    found = (
-        corpus.join(status.hint("shuffle_hash"), "chunk")
-        .mapInArrow(
-            _content_rows(buckets), "bucket int, chunk long, data binary, sizes binary, least binary, most binary"
-        )
-        .groupBy("bucket")
-        .applyInArrow(
-            _smallest_documents, "chunk long, bucket int, content binary, document binary, mask binary"
-        )
+    shared = triggers.groupBy("bucket").applyInArrow(
+        _shared_triggers, "part long, chunk long, bucket int, status binary"
+    )
+    status = materialize(_of_chunks(shared, "status", "bucket", "status"), "trigger-status")
+    known = corpus.join(status.hint("shuffle_hash"), ["part", "chunk"])
+    tables = min(buckets, _tables(total))
+    parse = _stored(
+        known.mapInArrow(_parse_rows(buckets), _PARSE).repartition(tables, "bucket"), "bucket", tables, "parse"
+    )
+    wanted = _of_chunks(
+        parse.groupBy("bucket").applyInArrow(_wanted, _WANTED), "wanted", "bucket", "places", "base", "least", "span"
     )
+    dictionary = known.join(wanted.hint("shuffle_hash"), ["part", "chunk"]).mapInArrow(_content_rows(buckets), _CONTENT)
+    smallest = dictionary.groupBy("bucket").applyInArrow(_smallest_documents, _SMALLEST)
+    found = parse.groupBy("bucket").cogroup(smallest.groupBy("bucket")).applyInArrow(_back_to_chunks, _SMALLER)
     smaller = materialize(
-        found.groupBy("chunk").agg(
-            F.collect_list(F.struct("bucket", "content", "document", "mask")).alias("smaller")
-        ),
-        "smaller-documents",
+        _of_chunks(found, "smaller", "bucket", "content", "document", "mask"), "smaller-documents"
     )
     rows = "order long, text_hash long, n_bytes long, n_removed long, n_spans long, kept binary"
     if spans:
         rows += ", spans array<struct<start: long, bytes: long>>"
     out = (
-        corpus.join(status.hint("shuffle_hash"), "chunk", "left")
-        .join(smaller.hint("shuffle_hash"), "chunk", "left")
+        corpus.join(status.hint("shuffle_hash"), ["part", "chunk"], "left")
+        .join(smaller.hint("shuffle_hash"), ["part", "chunk"], "left")
         .mapInArrow(_cut(buckets, spans), rows)
     )
     doc_id = F.when(F.col("order") != -(1 << 63), F.col("order"))

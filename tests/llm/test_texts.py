@@ -202,15 +202,51 @@ def test_repeats_are_removed(docs, empty, monkeypatch, heavy, chunk, bucket):
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
 
-def test_equal_hashes_of_different_strings_are_told_apart():
+def test_one_string_in_every_chunk_is_sent_once(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "CHUNK_BYTES", 200)
+    shared = prose(77, 20)
+    rows = [(k, prose(1000 + k, 20) + shared + prose(2000 + k, 5)) for k in range(60)]
+    got = suffix_dedup.remove_repeats(documents(spark, rows)).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed) for r in got) == Counter(r[:3] for r in removed_bytes(rows))
+    # The same id in many chunks: the smallest chunk sends it, with the documents of all.
+    import numpy as np
+    import pyarrow as pa
+
+    ids = np.array([5, 9], dtype=np.uint64).tobytes()
+    least, most = np.array([40, 50]), np.array([40, 60])
+    parse = []
+    for k in range(100):
+        base, low, span = suffix_dedup._pack_documents(least + k, most + k)
+        parse.append((3, 0, 100 - k, ids, base, low, span))
+    names = ["bucket", "part", "chunk", "idents", "base", "least", "span"]
+    table = pa.Table.from_pylist([dict(zip(names, r, strict=True)) for r in parse])
+    out = suffix_dedup._wanted(table).to_pylist()
+    assert [r["chunk"] for r in out] == [1]
+    low, high = suffix_dedup._unpack_documents(out[0], 2)
+    assert low.tolist() == [40, 50] and high.tolist() == [139, 159]
+
+
+def test_documents_survive_packing():
+    import numpy as np
+
+    least = np.array([-(2**63), -5, 0, 7, 2**40])
+    most = np.array([2**62, -5, 1, 300, 2**40])
+    base, low, span = suffix_dedup._pack_documents(least, most)
+    got = suffix_dedup._unpack_documents({"base": base, "least": low, "span": span}, 5)
+    assert got[0].tolist() == least.tolist() and got[1].tolist() == most.tolist()
+
+
+def test_suffixes_come_in_the_order_of_their_strings():
     import numpy as np
 
-    data = np.frombuffer(bytes(range(120)) + bytes(range(120)), dtype=np.uint8)
-    start = np.array([0, 120, 1, 121, 60])
-    order = np.arange(5)
-    new = suffix_dedup._groups(data, start, np.zeros(5, dtype=np.uint64), order)
+    dice = np.random.default_rng(4)
+    data = np.concatenate((dice.integers(0, 2, 500), [255, 0] * 40, dice.integers(0, 256, 200), [7] * 90)).astype(np.uint8)
+    start = dice.permutation(len(data) - 49)
+    order, new = suffix_dedup.suffix_order(data, start)
     strings = [data[s : s + 50].tobytes() for s in start[order]]
-    assert new.tolist() == [k == 0 or strings[k] != strings[k - 1] for k in range(5)]
+    assert strings == sorted(strings)
+    assert new.tolist() == [k == 0 or strings[k] != strings[k - 1] for k in range(len(strings))]
+    assert all(len(x) == 0 for x in suffix_dedup.suffix_order(data, start[:0]))
 
 
 # Sharding
