@@ -383,14 +383,21 @@ def _content_rows(buckets: int):
 def suffix_order(data: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The suffixes that begin at `start` in the order of their first `WIDTH` bytes, and flags of each new string."""
     pieces = np.ndarray(len(data) - 7, dtype=">u8", buffer=data, strides=(1,))
-    order = np.arange(len(start))
-    for k in reversed(_PIECES):
-        order = order[np.argsort(pieces[start[order] + k].astype(np.uint64), kind="stable")]
-    new = np.zeros(len(start), dtype=bool)
-    new[:1] = True
-    for k in _PIECES:
-        piece = pieces[start[order] + k]
-        new[1:] |= piece[1:] != piece[:-1]
+    order = np.argsort(pieces[start].astype(np.uint64))
+    new = np.ones(len(start), dtype=bool)
+    first = pieces[start[order]]
+    new[1:] = first[1:] != first[:-1]
+    for k in _PIECES[1:]:
+        # Only those that are not told apart yet.
+        tied = ~new
+        tied[:-1] |= ~new[1:]
+        at = np.flatnonzero(tied)
+        rank, own = np.cumsum(new[at]), order[at]
+        piece = pieces[start[own] + k].astype(np.uint64)
+        turn = np.argsort(piece)
+        turn = turn[np.argsort(rank[turn], kind="stable")]
+        order[at], piece = own[turn], piece[turn]
+        new[at[1:]] |= piece[1:] != piece[:-1]
     return order, new
 
 
