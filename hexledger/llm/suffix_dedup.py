@@ -570,7 +570,8 @@ def remove_repeats(documents: DataFrame, spans: bool = True) -> DataFrame:
     `spans` are the maximal removed runs (start, bytes). `kept` are the bytes left, which need not be UTF-8.
     One row per row: repeated rows and rows that share an id do not remove from each other. Null ids are
     smaller than all others, and come back as null. A null text is empty; texts under `WIDTH` bytes stay.
-    Other columns are not looked at.
+    Other columns are not looked at. Sets spark.sql.requireAllClusterKeysForCoPartition to false in the session,
+    which has to hold until the result is computed.
     """
     spark = documents.sparkSession
     bound_batches(spark)
