@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from hexledger.operators import quantiles as Q
 from hexledger.operators.rows import numeric_columns
-from hexledger.session import counted_side, materialize
+from hexledger.session import counted_side
 
 
 def _moments(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -37,24 +37,37 @@ def _moments(df: DataFrame, columns: list[str]) -> DataFrame:
     return aggregated.select(F.inline("stats"))
 
 
-def _quartiles(freq: DataFrame, keys: list[str]) -> DataFrame:
-    q = Q.quantiles(Q.sorted_frequencies(freq, keys), keys, [0.25, 0.5, 0.75])
+def _quartiles(df: DataFrame, columns: list[str]) -> DataFrame:
+    keys = ["column_name"]
+    q = Q.quantiles(Q.long_values(df, columns), keys, [0.25, 0.5, 0.75])
     return q.select(*keys, F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"))
 
 
 def describe_numeric(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Count, mean, deviation, minimum, exact quartiles and maximum of each numeric column."""
-    columns = columns or numeric_columns(df)
-    quartiles = _quartiles(Q.value_frequencies(df, columns), ["column_name"])
-    return _moments(df, columns).join(quartiles, "column_name", "left")
+    columns = numeric_columns(df) if columns is None else columns
+    if not columns:
+        numbers = ", ".join(f"{c} double" for c in ("mean", "std", "min", "max", "q25", "q50", "q75"))
+        return df.sparkSession.createDataFrame([], f"column_name string, count long, {numbers}")
+    return _moments(df, columns).join(_quartiles(df, columns), "column_name", "left")
 
 
-def _text_frequencies(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column_name, value, n) with values as text; null is a value of its own."""
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value")) for c in columns]
-    )
-    return df.select(F.inline(pairs)).groupBy("column_name", "value").agg(F.count("*").alias("n"))
+def _frequencies(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column_name, whole, number, text, n): how often each value occurs, null being a value of its own.
+
+    Whole numbers and doubles are counted as such, values of any other type as text.
+    """
+    kinds = {"tinyint": "whole", "smallint": "whole", "int": "whole", "bigint": "whole", "double": "number"}
+    types = dict(df.dtypes)
+
+    def entry(c: str) -> Column:
+        held = kinds.get(types[c], "text")
+        fields = (("whole", "bigint"), ("number", "double"), ("text", "string"))
+        values = [(F.col(f"`{c}`") if k == held else F.lit(None)).cast(t).alias(k) for k, t in fields]
+        return F.struct(F.lit(c).alias("column_name"), *values)
+
+    rows = df.select(F.inline(F.array(*[entry(c) for c in columns])))
+    return rows.groupBy("column_name", "whole", "number", "text").agg(F.count("*").alias("n"))
 
 
 def _extreme_values(freq: DataFrame, top_n: int) -> DataFrame:
@@ -82,15 +95,15 @@ def column_profile(df: DataFrame, top_n: int = 3) -> DataFrame:
     columns = df.columns
     numeric = numeric_columns(df)
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    freq = materialize(_text_frequencies(df, columns), "profile")
+    # The branches below read one shuffle of counted values; text is made of these, after it.
+    shown = F.coalesce(F.col("whole").cast("string"), F.col("number").cast("string"), "text")
+    freq = _frequencies(df, columns).select("column_name", shown.alias("value"), "n")
     counted = freq.filter("value IS NOT NULL").groupBy("column_name").agg(
         F.count("*").alias("n_unique"),
         F.sum("n").alias("count"),
         F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("mode"),
     )
-    values = freq.filter(F.col("column_name").isin(numeric) & F.col("value").isNotNull())
-    values = values.select("column_name", F.col("value").cast("double").alias("value"), "n")
-    numbers = _moments(df, numeric).drop("count").join(_quartiles(values, ["column_name"]), "column_name", "left")
+    numbers = describe_numeric(df, numeric).drop("count")
     dtype = F.create_map(*[F.lit(x) for c in columns for x in (c, types[c])])
     return (
         _extreme_values(freq, top_n)
@@ -173,8 +186,8 @@ def customer_histograms(tx: DataFrame, customer: str = "customer_id", bins: int
 def boxplot_stats(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
     """Quartiles, whiskers at the last values within 1.5 interquartile ranges, outlier count."""
     keys = [*(by or []), "column_name"]
-    ordered = Q.sorted_frequencies(Q.value_frequencies(df, columns, by), keys)
-    q = Q.quantiles(ordered, keys, [0.25, 0.5, 0.75])
+    values = Q.long_values(df, columns, by)
+    q = Q.quantiles(values, keys, [0.25, 0.5, 0.75])
     fences = q.select(
         *keys,
         F.col("q")[0].alias("q1"),
@@ -183,16 +196,14 @@ def boxplot_stats(df: DataFrame, columns: list[str], by: list[str] | None = None
         (F.col("q")[0] - 1.5 * (F.col("q")[2] - F.col("q")[0])).alias("lo_fence"),
         (F.col("q")[2] + 1.5 * (F.col("q")[2] - F.col("q")[0])).alias("hi_fence"),
     )
-    # Joined per range partition of the key, so that a key with most of the values is not one task.
-    spans = ordered.select(*keys, "part").distinct().join(fences, keys)
     within = (F.col("value") >= F.col("lo_fence")) & (F.col("value") <= F.col("hi_fence"))
     return (
-        ordered.join(counted_side(spans, "fences"), [*keys, "part"])
+        Q.on_keys(values, counted_side(fences, "fences"), keys)
         .groupBy(*keys, "q1", "median", "q3")
         .agg(
             F.min(F.when(within, F.col("value"))).alias("whisker_low"),
             F.max(F.when(within, F.col("value"))).alias("whisker_high"),
-            F.sum(F.when(within, 0).otherwise(F.col("n"))).alias("outliers"),
+            F.count_if(~within).alias("outliers"),
         )
     )
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hexledger.operators import aggregates, features, joins, metrics, profile, quality, rows, sets
 from hexledger.operators import quantiles as Q
+from hexledger.session import materialize
 
 
 def tuples(df, *columns):
@@ -159,7 +160,7 @@ def test_quantiles_match_numpy(spark, size):
     rng = np.random.default_rng(size)
     data = {"a": rng.normal(size=size).round(2), "b": rng.integers(0, 3, size=size).astype(float)}
     df = spark.createDataFrame([(float(x), float(y)) for x, y in zip(data["a"], data["b"])], "a double, b double")
-    ordered = Q.sorted_frequencies(Q.value_frequencies(df, ["a", "b"]), ["column_name"])
+    ordered = Q.long_values(df, ["a", "b"])
     got = {r["column_name"]: r["q"] for r in Q.quantiles(ordered, ["column_name"], [0.0, 0.25, 0.5, 0.9, 1.0]).collect()}
     for name, values in data.items():
         assert got[name] == pytest.approx(np.quantile(values, [0.0, 0.25, 0.5, 0.9, 1.0]))
@@ -167,11 +168,58 @@ def test_quantiles_match_numpy(spark, size):
 
 def test_quantiles_of_a_hot_value_and_of_nulls_only(spark):
     df = spark.createDataFrame([(1.0, None)] * 500 + [(2.0, None), (0.0, None)], "a double, b double")
-    ordered = Q.sorted_frequencies(Q.value_frequencies(df, ["a", "b"]), ["column_name"])
+    ordered = Q.long_values(df, ["a", "b"])
     got = {r["column_name"]: r["q"] for r in Q.quantiles(ordered, ["column_name"], [0.0, 0.5, 1.0]).collect()}
     assert got == {"a": [0.0, 1.0, 2.0]}
 
 
+def test_quantiles_of_numbers_that_are_far_apart(spark, monkeypatch):
+    """Magnitudes from the smallest to the largest double, both infinities, NaN last, few bins, null keys."""
+    monkeypatch.setattr(Q, "BINS", 64)
+    inf, nan = float("inf"), float("nan")
+    wide = [-inf, -1.7e308, -1.0, -5e-324, 0.0, 5e-324, 1e-300, 1e-9, 1.0, 1.0, 3e9, 1.7e308, inf]
+    rows = [("wide", v) for v in wide] + [(None, float(v)) for v in range(5)]
+    rows += [("ends", -inf), ("ends", inf), ("ends", inf), ("odd", nan), ("odd", 1.0), ("odd", nan)]
+    values = spark.createDataFrame(rows, "k string, value double")
+    shares = [i / 12 for i in range(13)]
+    got = {r["k"]: r["q"] for r in Q.quantiles(values, ["k"], shares).collect()}
+    assert got["wide"] == wide
+    assert got[None] == pytest.approx([i / 3 for i in range(13)])
+    assert (got["ends"][0], got["ends"][6], got["ends"][12]) == (-inf, inf, inf)
+    assert got["odd"][0] == 1.0 and np.isnan(got["odd"][6]) and np.isnan(got["odd"][12])
+
+
+def test_quantiles_write_no_values(spark, monkeypatch):
+    """What is written is a row per wanted rank and open interval, however many values there are."""
+    written = []
+
+    def counting(df, name):
+        stored = materialize(df, name)
+        written.append(stored.count())
+        return stored
+
+    monkeypatch.setattr(Q, "materialize", counting)
+    for size in (100, 50_000):
+        df = spark.range(size).select(F.sqrt("id").alias("a"), F.expr("id % 7").alias("b"))
+        q = {r["column_name"]: r["q"] for r in Q.quantiles(Q.long_values(df, ["a", "b"]), ["column_name"], [0.5]).collect()}
+        assert q["a"][0] == pytest.approx(np.median(np.sqrt(np.arange(size))))
+    # Two columns with one rank from below and one from above.
+    assert max(written) == 4 and len(written) <= 8
+
+
+def test_profile_keeps_the_types_of_values(spark):
+    """Whole numbers beyond 2^53 stay apart; other types are profiled as text; text alone has no numbers."""
+    rows = [(2**53, 0.1, True, "x"), (2**53 + 1, 0.1, None, "x"), (None, float("nan"), False, None)]
+    df = spark.createDataFrame(rows, "w long, d double, b boolean, t string")
+    got = {r["column_name"]: r for r in profile.column_profile(df).collect()}
+    assert {c: r["n_unique"] for c, r in got.items()} == {"w": 2, "d": 2, "b": 2, "t": 1}
+    assert got["w"]["top_values"] == "null: 1, 9007199254740992: 1, 9007199254740993: 1"
+    assert got["d"]["top_values"] == "0.1: 2, NaN: 1"
+    assert got["b"]["median"] == "false"
+    only = profile.column_profile(df.select("t")).first()
+    assert (only["median"], only["mean"], only["top_values"]) == ("x", None, "x: 2, null: 1")
+
+
 def test_boxplot_by_group(spark):
     df = spark.createDataFrame([(0, float(v)) for v in [1, 2, 3, 4, 100]] + [(1, 5.0)], "g int, v double")
     got = {r["g"]: r for r in profile.boxplot_stats(df, ["v"], ["g"]).collect()}
