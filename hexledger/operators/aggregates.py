@@ -1,6 +1,8 @@
 """Reports and summaries over transactions, withdrawals, cells and points of interest.
 
-Aggregates shuffle partial results, never rows, so a key that holds much of the table is safe.
+Aggregates shuffle partial results, never rows, so a key that holds much of the table is safe. The exception
+are groups by customer and cell, nearly as many as rows: partial results would fill a task's memory and save
+nothing, so the rows are dealt by the group to as many tasks as they are worth.
 Many-to-many counts are taken as products of per-key counts instead of joining the rows.
 """
 
@@ -12,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hexledger.functions import cells
-from hexledger.session import counted_side
+from hexledger.session import counted_side, tasks_for
 
 
 def customer_stats(tx: DataFrame) -> DataFrame:
@@ -30,7 +32,9 @@ def customer_stats(tx: DataFrame) -> DataFrame:
 
 
 def customer_cell_stats(tx: DataFrame) -> DataFrame:
-    return tx.groupBy("customer_id", "h3_09").agg(
+    keys = ["customer_id", "h3_09"]
+    dealt = tx.select(*keys, "sum", "mcc_code").repartition(tasks_for(tx), *keys)
+    return dealt.groupBy(*keys).agg(
         F.count("*").alias("location_transaction_count"),
         F.avg("sum").alias("location_avg_amount"),
         F.count("mcc_code").alias("location_unique_mcc_count"),
@@ -59,8 +63,9 @@ def withdraw_rate(tx: DataFrame, withdrawals: DataFrame) -> DataFrame:
     matched rows, and n rows meeting none stay n rows.
     """
     keys = ["customer_id", "h3_09"]
-    left = tx.groupBy(*keys).agg(F.count("*").alias("n"))
-    right = withdrawals.groupBy(*keys).agg(F.count("*").alias("m"))
+    tasks = tasks_for(tx)
+    left = tx.select(*keys).repartition(tasks, *keys).groupBy(*keys).agg(F.count("*").alias("n"))
+    right = withdrawals.select(*keys).repartition(tasks, *keys).groupBy(*keys).agg(F.count("*").alias("m"))
     joined = left.join(right, keys, "left")
     return joined.agg(
         F.coalesce(F.sum(F.col("n") * F.coalesce("m", F.lit(0))), F.lit(0)).alias("withdraw_tx"),
@@ -116,12 +121,19 @@ def top_center_names(places: DataFrame, k: int = 30) -> DataFrame:
 
 
 def customer_summary(tx: DataFrame) -> DataFrame:
-    return tx.groupBy("customer_id").agg(
+    """Per customer; rows are grouped by cell and code first, so that each different one is met once a task."""
+    keys = ["customer_id", "h3_09"]
+    dealt = tx.select(*keys, "mcc_code", "count", "sum").repartition(tasks_for(tx), *keys)
+    visits = dealt.groupBy(*keys).agg(
         F.sum(F.col("count").cast("long")).alias("count"),
         F.sum(F.col("sum").cast("double")).alias("sum"),
-        F.count_distinct("h3_09").alias("n_cells"),
-        F.count_distinct("mcc_code").alias("n_mcc"),
     )
+    totals = visits.groupBy("customer_id").agg(
+        F.sum("count").alias("count"), F.sum("sum").alias("sum"), F.count("h3_09").alias("n_cells")
+    )
+    codes = dealt.groupBy(F.col("customer_id").alias("_customer"), "mcc_code").agg(F.lit(1))
+    counted = codes.groupBy("_customer").agg(F.count("mcc_code").alias("n_mcc"))
+    return totals.join(counted, F.col("customer_id").eqNullSafe(F.col("_customer"))).drop("_customer")
 
 
 def location_summary(tx: DataFrame) -> DataFrame:

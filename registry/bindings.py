@@ -7,7 +7,6 @@ whole units, so that sums are exact in any order.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 from functools import cached_property
 
@@ -17,7 +16,7 @@ from pyspark.sql.types import StructType
 
 from hexledger.functions import cells
 from hexledger.plans.reports import named_places
-from hexledger.session import scratch_path
+from hexledger.session import scratch_path, tasks_for
 
 # A resolution-9 id with base cell 8: nine base-7 digits of the key, unused digits 7.
 _ID_LEVELS = 9
@@ -93,9 +92,6 @@ SQL_VIEWS = {
 }
 
 
-# Line items that one task groups: some 30 MB of groups, whatever the size of the table.
-LINES_PER_TASK = 200_000
-
 # Stored base tables by (application, directory, table): transactions and withdrawals are derived from
 # the line items once per application, as an ingest job would, and every query reads the stored rows.
 _STORED: dict[tuple[str, str, str], tuple[str, StructType]] = {}
@@ -132,7 +128,7 @@ class Tables:
         rows are dealt by the group instead, to as many tasks as they are worth, and aggregated where they are.
         """
         lines = self.raw("lineitem")
-        tasks = math.ceil(lines.count() / LINES_PER_TASK) or 1
+        tasks = tasks_for(lines)
         narrow = lines.select(
             "l_orderkey",
             "l_suppkey",

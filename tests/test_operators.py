@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -7,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hexledger.operators import aggregates, features, joins, metrics, profile, quality, rows, sets
 from hexledger.operators import quantiles as Q
-from hexledger.session import materialize
+from hexledger.session import materialize, tasks_for
 
 
 def tuples(df, *columns):
@@ -330,3 +332,36 @@ def test_correlation_plan_does_not_grow_with_pairs(spark):
     corr = profile.correlation_matrix(wide)
     assert corr.count() == 1600
     assert "corr(" not in corr._jdf.queryExecution().toString()
+
+
+def exchanges(df):
+    return re.findall(r"\bExchange\b", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_customer_cell_rows_are_dealt_to_as_many_tasks_as_they_are_worth(spark, tables, monkeypatch):
+    monkeypatch.setattr(aggregates, "tasks_for", lambda df: tasks_for(df, 100))
+    stats = aggregates.customer_cell_stats(tables.transactions)
+    assert len(exchanges(stats)) == 1
+    assert stats.rdd.getNumPartitions() == -(-tables.transactions.count() // 100)
+
+
+def test_withdraw_rate_joins_what_is_dealt_already(spark, tables, monkeypatch):
+    monkeypatch.setattr(aggregates, "tasks_for", lambda df: 37)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = aggregates.withdraw_rate(tables.transactions, tables.withdrawals)._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    text = plan.toString()
+    assert text.count("hashpartitioning(") == 2 and len(re.findall(r"\), 37\), REPARTITION_BY_NUM|, 37\), REPART", text)) == 2
+
+
+def test_customer_summary_with_nulls(spark):
+    tx = spark.createDataFrame(
+        [(1, "a", 5, 2, 1.0), (1, "a", 5, 1, 2.0), (1, "b", 6, 1, 4.0), (1, None, None, 1, 1.0), (None, "a", 5, 3, 9.0)],
+        "customer_id long, h3_09 string, mcc_code short, count short, sum double",
+    )
+    summary = aggregates.customer_summary(tx)
+    assert "Expand" not in summary._jdf.queryExecution().executedPlan().toString()
+    got = {r.customer_id: tuple(r)[1:] for r in summary.collect()}
+    assert got == {1: (5, 8.0, 2, 2), None: (3, 9.0, 1, 1)}

@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from hexledger.session import tasks_for
 from registry import bindings
 
 
@@ -16,7 +17,7 @@ def test_lines_are_shuffled_once_a_join_and_once_a_group(spark, tables):
 
 
 def test_tasks_grow_with_the_lines(spark, tables, monkeypatch):
-    monkeypatch.setattr(bindings, "LINES_PER_TASK", 100)
+    monkeypatch.setattr(bindings, "tasks_for", lambda df: tasks_for(df, 100))
     assert tables._grouped_lines().rdd.getNumPartitions() == -(-tables.raw("lineitem").count() // 100)
 
 
