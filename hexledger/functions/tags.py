@@ -55,5 +55,5 @@ def tag_map(tags: Column) -> Column:
 
 def tag_value(tags: Column, key: str) -> Column:
     """The trimmed lower-case value of `key`; null when the element does not have it."""
-    value = F.lower(F.trim(F.try_element_at(tag_map(tags), F.lit(key))))
-    return F.when(value != "", value)
+    at = F.nullif(F.array_position(tag_keys(tags), key), F.lit(0)).cast("int")
+    return F.nullif(F.lower(F.trim(F.try_element_at(tag_values(tags), at))), F.lit(""))

@@ -6,8 +6,11 @@ from pyspark.sql import functions as F
 
 from hexledger.functions import geo, tags
 from hexledger.operators import spatial
+from hexledger.session import materialize, tasks_for
 from registry.core import query
 
+# Tag texts that one task parses.
+PARSED_ROWS = 20_000
 DEGREES_200M = 200 / geo.METRES_PER_DEGREE
 
 
@@ -109,7 +112,10 @@ def _(t):
             WHERE p_size % 7 <> 0 AND p_size % 2 <> 0) WHERE r = 1""",
 )
 def _(t):
-    typed = t.poi.withColumn("poi_type", tags.tag_value(F.col("tags"), "type")).filter("poi_type IS NOT NULL")
+    # Parsed once, by as many tasks as there is text to parse: the search and the last join both read it.
+    dealt = t.poi.repartition(tasks_for(t.poi, PARSED_ROWS), "id")
+    parsed = dealt.select("id", "lat", "lon", tags.tag_value(F.col("tags"), "type").alias("poi_type"))
+    typed = materialize(parsed, "typed").filter("poi_type IS NOT NULL")
     found = spatial.nearest_site(t.atm, typed, "id", name="poi_id")
     kinds = typed.select(F.col("id").alias("poi_id"), "poi_type")
     return found.join(kinds, "poi_id", "left").select("h3_09", "poi_id", "poi_type")

@@ -146,3 +146,12 @@ def test_default_label(spark):
     assert [r[0] for r in df.select(values.default_label(F.col("t"), "Unknown")).collect()] == [
         "Unknown", "Unknown", "x",
     ]
+
+
+def test_tag_value_reads_the_text_once_for_keys_and_once_for_values(spark):
+    rows = [("[('a', 'X'), ('b', ' '), ('a', 'Y')]",), (None,), ("no pairs",)]
+    df = spark.createDataFrame(rows, "tags string")
+    found = df.select(*[tags.tag_value(F.col("tags"), k).alias(k) for k in "abc"])
+    assert [tuple(r) for r in found.collect()] == [("x", None, None), (None, None, None), (None, None, None)]
+    plan = df.select(tags.tag_value(F.col("tags"), "a").alias("v"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 2
