@@ -143,3 +143,9 @@ def _vector(df):
     from pyspark.ml.functions import array_to_vector
 
     return df.select("label", array_to_vector("a").alias("features"))
+
+
+def test_light_fits_take_more_rows_a_task(spark):
+    df = spark.range(0, search.ROWS_PER_TASK * 4, 1, 8)
+    assert search.sized(df).rdd.getNumPartitions() == 4
+    assert search.sized(df, search.LIGHT_ROWS).rdd.getNumPartitions() == 1
