@@ -260,3 +260,10 @@ def test_jdbc_read_is_cut_by_the_key_range():
 def test_avro_without_its_module_is_an_error(spark, tmp_path):
     with pytest.raises(Exception, match="(?i)avro"):
         readers.read_avro(spark, str(tmp_path))
+
+
+def test_json_lines_are_written_compressed(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    writers.write_json_lines(spark.range(3).selectExpr("id", "CAST(NULL AS string) AS gone"), path)
+    assert [p.name for p in (tmp_path / "rows").glob("part-*") if not p.name.endswith(".json.gz")] == []
+    assert sorted(map(tuple, readers.read_json_lines(spark, path, "id long, gone string").collect())) == [(i, None) for i in range(3)]
