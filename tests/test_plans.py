@@ -137,3 +137,10 @@ def test_batch_score(spark):
     df = spark.createDataFrame([(1.0, 2.0), (3.0, 4.0)], "a double, b double")
     got = models.batch_score(df, ["a", "b"], lambda x: x.sum(axis=1)).collect()
     assert [r["prediction"] for r in got] == [3.0, 7.0]
+
+
+def test_classified_rows_are_dealt_for_the_work_not_the_bytes(spark, tables, monkeypatch):
+    monkeypatch.setattr(classification.search, "ROWS_PER_TASK", 40)
+    t = tables
+    train, _ = classification.prepared_split(t.transactions, t.withdrawals, t.locations, t.places)
+    assert len(train.inputFiles()) >= min(8, t.withdrawals.count() // 40)
