@@ -29,8 +29,10 @@ from hexledger.llm.text_arrays import slices
 from hexledger.session import materialize, scratch_path
 
 LIMIT = 2048
-# Words that a worker remembers, by their bytes; it forgets all when there are more.
-REMEMBERED_BYTES = 16 << 20
+# What a worker's remembered words may hold of memory; it forgets all when there are more.
+REMEMBERED_BYTES = 96 << 20
+# What Python holds for a remembered word beside its own bytes: the object, its count and its share of the table.
+WORD_BYTES = 160
 # Texts or words handed to the library at once.
 ENCODED_BYTES = 1 << 18
 
@@ -85,7 +87,7 @@ class Counter:
                 tokenizer.no_truncation()
                 tokenizer.no_padding()
                 state["encode"] = lambda texts: [
-                    len(e.ids) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+                    len(e) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)
                 ]
             state.update(known={}, held=0)
         self.state = state
@@ -96,15 +98,19 @@ class Counter:
         words = [t.split() for t in texts]  # bytes split at ASCII white space only
         known = self.state["known"]
         new = {w for each in words for w in each if w not in known}
-        self.state["held"] += sum(map(len, new))
+        self.state["held"] += self.memory(new)
         if self.state["held"] > REMEMBERED_BYTES:
             known.clear()
             new = {w for each in words for w in each}
-            self.state["held"] = sum(map(len, new))
+            self.state["held"] = self.memory(new)
         new = list(new)
         known.update(zip(new, self.encoded(new), strict=True))
         return [sum(map(known.__getitem__, each)) for each in words]
 
+    @staticmethod
+    def memory(words: set[bytes]) -> int:
+        return sum(map(len, words)) + WORD_BYTES * len(words)
+
     def encoded(self, texts: list[bytes]) -> list[int]:
         out, batch, size = [], [], 0
         for text in texts:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import random
+import sys
 
 import public_tokenizers
 import pytest
@@ -93,3 +94,14 @@ def test_remembered_words_are_forgotten_beyond_the_bound(monkeypatch):
         text = prose(k, 30)
         assert counter.counts([text.encode(), b""]) == [library_count(WORDS, text), 0]
         assert sum(map(len, counter.state["known"])) <= max(60, len(text))
+
+
+def test_short_words_are_counted_with_what_python_holds_for_them(monkeypatch):
+    monkeypatch.setattr(token_counts, "REMEMBERED_BYTES", 1 << 20)
+    with open(WORDS, "rb") as file:
+        counter = token_counts.Counter({"content": file.read(), "pieces": False, "words": True})
+    for k in range(20):
+        text = " ".join(f"{n:x}" for n in range(1000 * k, 1000 * (k + 1)))
+        assert counter.counts([text.encode()]) == [library_count(WORDS, text)]
+        known = counter.state["known"]
+        assert sys.getsizeof(known) + sum(map(sys.getsizeof, known)) <= 1 << 20
