@@ -9,7 +9,8 @@ first and the last document are all that is asked for. So the dictionary is sort
 kept as the list of phrase ids of each chunk, by id, with the documents they stand in, and both together give
 the classes of equal strings of the corpus and the smallest document of each.
 
-1. Documents are packed into chunks and stored where they are packed, so that later joins do not move the texts.
+1. Documents are packed into chunks, which are dealt once to evenly filled buckets of a table: each pass over them keeps
+   all cores busy however few tasks read the input, and later joins do not move the texts.
 2. Triggers of each chunk go to tasks by their hash; those that occur in one document only drop out.
 3. The parse: the different phrases of a chunk as 64-bit ids, with first and last document, are stored by bucket.
 4. The dictionary: the content of each different phrase of the corpus is sent once, by the smallest chunk that has
@@ -47,11 +48,11 @@ BUCKET_BYTES = 1 << 24
 HEAVY_CHUNKS = 1 << 13
 
 _REACH = WIDTH - TRIGGER + 1  # triggers that a string can have
-_SEGMENT = 1 << 18
+_SEGMENT = 1 << 15  # places whose hashes are compared together: they stay in a core's cache
 _PLACE = np.uint64((1 << 22) - 1)
 # Where the eight-byte pieces begin that together are a string; the last two overlap.
 _PIECES = (*range(0, WIDTH - 7, 8), WIDTH - 8)
-_PACKED = "part long, chunk long, orders array<long>, hashes array<long>, cuts array<long>, data binary"
+_PACKED = "chunk long, orders array<long>, hashes array<long>, cuts array<long>, data binary"
 
 
 @dataclass
@@ -74,28 +75,35 @@ def phrases(texts: Texts, prefix: np.ndarray) -> Phrases:
         empty = np.zeros(0, dtype=np.int64)
         return Phrases(empty, empty, empty, empty, empty.astype(np.uint64))
     hashes = texts.window_hash(prefix, TRIGGER)
-    at = np.empty(n, dtype=np.int64)
+    at = np.empty(n, dtype=np.int32)
+    places = np.arange(_SEGMENT + _REACH, dtype=np.uint64)
     for first in range(0, n, _SEGMENT):
         count = min(_SEGMENT, n - first)
         # The hash above, the place below: the minimum is the smallest hash, the leftmost of equals.
         packed = hashes[first : first + count + _REACH - 1] & ~_PLACE
-        packed |= np.arange(len(packed), dtype=np.uint64)
+        packed |= places[: len(packed)]
         width = 1
         while 2 * width <= _REACH:
             packed = np.minimum(packed[:-width], packed[width:])
             width *= 2
         if width < _REACH:
             packed = np.minimum(packed[: width - _REACH], packed[_REACH - width :])
-        at[first : first + count] = (packed & _PLACE).astype(np.int64) + first
-    starts = np.arange(n)
-    document = texts.document_of(starts)
-    inside = starts + WIDTH <= texts.offsets[document + 1]
-    starts, at, document = starts[inside], at[inside], document[inside]
-    new = np.ones(len(starts), dtype=bool)
-    new[1:] = (at[1:] != at[:-1]) | (starts[1:] != starts[:-1] + 1)
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(starts)) - 1
-    return Phrases(starts[first], starts[last], at[first], document[first], mix(hashes[at[first]]))
+        packed &= _PLACE
+        at[first : first + count] = packed
+        at[first : first + count] += first
+    # The last places of a document begin no string of its own.
+    begins, ends = texts.offsets[:-1], texts.offsets[1:]
+    edges = np.zeros(n + 1, dtype=np.int32)
+    np.add.at(edges, np.minimum(np.maximum(ends - WIDTH + 1, begins), n), 1)
+    np.add.at(edges, np.minimum(ends, n), -1)
+    inside = np.cumsum(edges[:-1]) == 0
+    new, closed = inside.copy(), inside.copy()
+    other = at[1:] != at[:-1]
+    new[1:] &= other | ~inside[:-1]
+    closed[:-1] &= other | ~inside[1:]
+    low, high = np.flatnonzero(new), np.flatnonzero(closed)
+    found = at[low].astype(np.int64)
+    return Phrases(low, high, found, texts.document_of(low), mix(hashes[found]))
 
 
 def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
@@ -113,7 +121,6 @@ def _texts(row: dict) -> Texts:
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema(
         [
-            ("part", pa.int64()),
             ("chunk", pa.int64()),
             ("orders", pa.list_(pa.int64())),
             ("hashes", pa.list_(pa.int64())),
@@ -121,13 +128,12 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ("data", pa.binary()),
         ]
     )
-    part = TaskContext.get().partitionId()
-    chunk = part << 32
+    chunk = TaskContext.get().partitionId() << 32
     orders, hashes, data, size = [], [], [], 0
 
     def full() -> pa.RecordBatch:
         cuts = np.concatenate(([0], np.cumsum([len(d) for d in data]))).tolist()
-        row = {"part": part, "chunk": chunk, "orders": orders, "hashes": hashes, "cuts": cuts, "data": b"".join(data)}
+        row = {"chunk": chunk, "orders": orders, "hashes": hashes, "cuts": cuts, "data": b"".join(data)}
         return pa.RecordBatch.from_pylist([row], schema=schema)
 
     for batch in batches:
@@ -146,7 +152,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _trigger_rows(buckets: int):
     """Step 2, in the chunks: the different triggers by bucket, and whether two documents share one."""
-    schema = _schema(bucket=pa.int32(), part=pa.int64(), chunk=pa.int64(), keys=pa.binary(), shared=pa.binary())
+    schema = _schema(bucket=pa.int32(), chunk=pa.int64(), keys=pa.binary(), shared=pa.binary())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,7 +161,7 @@ def _trigger_rows(buckets: int):
                 rows = []
                 for bucket, keys, documents, _ in _by_bucket(phrases(texts, texts.prefix()), buckets):
                     shared = documents[1] != documents[0]
-                    rows.append((bucket, row["part"], row["chunk"], keys.tobytes(), np.packbits(shared).tobytes()))
+                    rows.append((bucket, row["chunk"], keys.tobytes(), np.packbits(shared).tobytes()))
                 yield _batch(rows, schema)
 
     return run
@@ -194,7 +200,6 @@ def _shared_triggers(table: pa.Table) -> pa.Table:
     bucket = table["bucket"][0].as_py()
     return pa.table(
         {
-            "part": table["part"],
             "chunk": table["chunk"],
             "bucket": pa.array([bucket] * len(keys), pa.int32()),
             "status": pa.array([s.tobytes() for s in np.split(of_each, cuts)], pa.binary()),
@@ -285,16 +290,16 @@ def _schema(**types: pa.DataType) -> pa.Schema:
 
 
 _DOCUMENTS = {"base": pa.int64(), "least": pa.binary(), "span": pa.binary()}
-_PARSE = "bucket int, part long, chunk long, idents binary, base long, least binary, span binary"
-_WANTED = "part long, chunk long, bucket int, places binary, base long, least binary, span binary"
+_PARSE = "bucket int, chunk long, idents binary, base long, least binary, span binary"
+_WANTED = "chunk long, bucket int, places binary, base long, least binary, span binary"
 _CONTENT = "bucket int, idents binary, sizes binary, data binary, base long, least binary, span binary"
 _SMALLEST = "bucket int, idents binary, document binary, mask binary"
-_SMALLER = "part long, chunk long, bucket int, content binary, document binary, mask binary"
+_SMALLER = "chunk long, bucket int, content binary, document binary, mask binary"
 
 
 def _parse_rows(buckets: int):
     """Step 3, in the chunks: the ids of their phrases by bucket, each with its first and last document."""
-    schema = _schema(bucket=pa.int32(), part=pa.int64(), chunk=pa.int64(), idents=pa.binary(), **_DOCUMENTS)
+    schema = _schema(bucket=pa.int32(), chunk=pa.int64(), idents=pa.binary(), **_DOCUMENTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -307,7 +312,7 @@ def _parse_rows(buckets: int):
                 np.minimum.at(least, own.of_phrase, orders)
                 np.maximum.at(most, own.of_phrase, orders)
                 rows = [
-                    (int(own.bucket[a]), row["part"], row["chunk"], own.ident[a:b].tobytes())
+                    (int(own.bucket[a]), row["chunk"], own.ident[a:b].tobytes())
                     + _pack_documents(least[a:b], most[a:b])
                     for a, b in own.by_bucket()
                 ]
@@ -337,12 +342,12 @@ def _wanted(table: pa.Table) -> pa.Table:
     bounds = np.cumsum([0] + [len(i) for i in idents])
     cuts = np.searchsorted(place, bounds)
     out = [
-        (r["part"], r["chunk"], r["bucket"], (place[a:b] - bounds[k]).astype(np.uint32).tobytes())
+        (r["chunk"], r["bucket"], (place[a:b] - bounds[k]).astype(np.uint32).tobytes())
         + _pack_documents(least[a:b], most[a:b])
         for k, (r, a, b) in enumerate(zip(rows, cuts[:-1], cuts[1:], strict=True))
         if b > a
     ]
-    schema = _schema(part=pa.int64(), chunk=pa.int64(), bucket=pa.int32(), places=pa.binary(), **_DOCUMENTS)
+    schema = _schema(chunk=pa.int64(), bucket=pa.int32(), places=pa.binary(), **_DOCUMENTS)
     return pa.Table.from_batches([_batch(out, schema)])
 
 
@@ -435,7 +440,7 @@ def _smallest_documents(table: pa.Table) -> pa.Table:
 def _back_to_chunks(parse: pa.Table, smallest: pa.Table) -> pa.Table:
     """Step 5, by bucket: the entries of each chunk's contents that have a document above the smallest."""
     schema = _schema(
-        part=pa.int64(), chunk=pa.int64(), bucket=pa.int32(), content=pa.binary(), document=pa.binary(), mask=pa.binary()
+        chunk=pa.int64(), bucket=pa.int32(), content=pa.binary(), document=pa.binary(), mask=pa.binary()
     )
     out = []
     for entries in smallest.to_pylist():  # one row
@@ -454,7 +459,7 @@ def _back_to_chunks(parse: pa.Table, smallest: pa.Table) -> pa.Table:
                 content, at = content[hit].astype(np.uint32), at[hit]
                 if len(at):
                     values = (content.tobytes(), document[at].tobytes(), mask[at].tobytes())
-                    out.append((row["part"], row["chunk"], row["bucket"], *values))
+                    out.append((row["chunk"], row["bucket"], *values))
     return pa.Table.from_batches([_batch(out, schema)])
 
 
@@ -540,12 +545,13 @@ def _stored(frame: DataFrame, column: str, buckets: int, purpose: str) -> DataFr
 
 
 def _corpus(documents: DataFrame) -> tuple[DataFrame, int]:
-    """The chunks, each packing task's in a bucket, so that nothing is shuffled; and the bytes of all texts."""
+    """The chunks, dealt to buckets one by one: a task of the scan may hold very many; and the bytes of all texts."""
     # Null ids come before all others.
     order = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
     rows = documents.select(order.alias("order"), F.xxhash64("text").alias("text_hash"), "text")
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    return _stored(rows.mapInArrow(_pack, _PACKED), "part", _tables(total), "corpus"), total
+    tables = _tables(total)
+    return _stored(rows.mapInArrow(_pack, _PACKED).repartition(tables, "chunk"), "chunk", tables, "corpus"), total
 
 
 def _tables(total: int) -> int:
@@ -560,7 +566,7 @@ def _forget(spark, name: str) -> None:
 
 def _of_chunks(rows: DataFrame, name: str, *columns: str) -> DataFrame:
     """One row per chunk with the list of its rows."""
-    return rows.groupBy("part", "chunk").agg(F.collect_list(F.struct(*columns)).alias(name))
+    return rows.groupBy("chunk").agg(F.collect_list(F.struct(*columns)).alias(name))
 
 
 def remove_repeats(documents: DataFrame, spans: bool = True) -> DataFrame:
@@ -570,23 +576,20 @@ def remove_repeats(documents: DataFrame, spans: bool = True) -> DataFrame:
     `spans` are the maximal removed runs (start, bytes). `kept` are the bytes left, which need not be UTF-8.
     One row per row: repeated rows and rows that share an id do not remove from each other. Null ids are
     smaller than all others, and come back as null. A null text is empty; texts under `WIDTH` bytes stay.
-    Other columns are not looked at. Sets spark.sql.requireAllClusterKeysForCoPartition to false in the session,
-    which has to hold until the result is computed.
+    Other columns are not looked at.
     """
     spark = documents.sparkSession
     bound_batches(spark)
-    # Chunks lie in buckets by their part; joins by part and chunk are to use that.
-    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     corpus, total = _corpus(documents)
     buckets = total // BUCKET_BYTES + 1
     triggers = corpus.mapInArrow(
-        _trigger_rows(buckets), "bucket int, part long, chunk long, keys binary, shared binary"
+        _trigger_rows(buckets), "bucket int, chunk long, keys binary, shared binary"
     )
     shared = triggers.groupBy("bucket").applyInArrow(
-        _shared_triggers, "part long, chunk long, bucket int, status binary"
+        _shared_triggers, "chunk long, bucket int, status binary"
     )
     status = materialize(_of_chunks(shared, "status", "bucket", "status"), "trigger-status")
-    known = corpus.join(status.hint("shuffle_hash"), ["part", "chunk"])
+    known = corpus.join(status.hint("shuffle_hash"), "chunk")
     tables = min(buckets, _tables(total))
     parse = _stored(
         known.mapInArrow(_parse_rows(buckets), _PARSE).repartition(tables, "bucket"), "bucket", tables, "parse"
@@ -594,7 +597,7 @@ def remove_repeats(documents: DataFrame, spans: bool = True) -> DataFrame:
     wanted = _of_chunks(
         parse.groupBy("bucket").applyInArrow(_wanted, _WANTED), "wanted", "bucket", "places", "base", "least", "span"
     )
-    dictionary = known.join(wanted.hint("shuffle_hash"), ["part", "chunk"]).mapInArrow(_content_rows(buckets), _CONTENT)
+    dictionary = known.join(wanted.hint("shuffle_hash"), "chunk").mapInArrow(_content_rows(buckets), _CONTENT)
     smallest = dictionary.groupBy("bucket").applyInArrow(_smallest_documents, _SMALLEST)
     found = parse.groupBy("bucket").cogroup(smallest.groupBy("bucket")).applyInArrow(_back_to_chunks, _SMALLER)
     smaller = materialize(
@@ -604,8 +607,8 @@ def remove_repeats(documents: DataFrame, spans: bool = True) -> DataFrame:
     if spans:
         rows += ", spans array<struct<start: long, bytes: long>>"
     out = (
-        corpus.join(status.hint("shuffle_hash"), ["part", "chunk"], "left")
-        .join(smaller.hint("shuffle_hash"), ["part", "chunk"], "left")
+        corpus.join(status.hint("shuffle_hash"), "chunk", "left")
+        .join(smaller.hint("shuffle_hash"), "chunk", "left")
         .mapInArrow(_cut(buckets, spans), rows)
     )
     doc_id = F.when(F.col("order") != -(1 << 63), F.col("order"))
