@@ -235,3 +235,12 @@ def test_run_equals_the_stages_one_by_one(spark, folder):
     rows = pipeline.run(spark, folder).collect()
     assert Counter((r.doc_id, r.n_tokens) for r in rows) == want
     assert near_dedup.SHINGLE == 5
+
+
+def test_only_counted_sides_are_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "MAX_GRAMS", -1)
+    rows = [(k, f"http://h{k % 7}.example.{('org', 'com', 'net')[k % 3]}/{('es', 'fr', 'de')[k % 2]}/{k}", "") for k in range(60)]
+    judged = url_filter.judge(html_pages(spark, rows))
+    # The files behind each side are small, but not what it may become.
+    assert "Broadcast" not in judged._jdf.queryExecution().executedPlan().toString()
+    assert judged.count() == 60
